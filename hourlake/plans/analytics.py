@@ -62,9 +62,10 @@ def top_repos(named: DataFrame, k: int = 20) -> DataFrame:
 def merge_time_histogram(lifecycle: DataFrame, start: date, end: date, bins: int = 30) -> DataFrame:
     """Equal-width histogram of ``hours_to_merge``: ``bin`` (from 1), its bounds and count."""
     rows = in_range(lifecycle, "merged_at", start, end).select("hours_to_merge")
-    ends = rows.agg(F.min("hours_to_merge").alias("lo"), F.max("hours_to_merge").alias("hi"))
-    lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
-    width = (hi - lo) / F.lit(float(bins))
+    ends = F.struct(F.min("hours_to_merge").alias("lo"), F.max("hours_to_merge").alias("hi"))
+    span = rows.agg(ends).scalar()
+    lo = span["lo"]
+    width = (span["hi"] - lo) / F.lit(float(bins))
     # All values equal: one bin. The largest value belongs to the last bin.
     index = F.when(width == 0, F.lit(0)).otherwise(F.floor((F.col("hours_to_merge") - lo) / F.nullif(width, F.lit(0.0))))
     return (

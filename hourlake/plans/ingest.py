@@ -312,21 +312,21 @@ def _empty_partitions(spark: SparkSession, bronze: str, hours: DataFrame) -> Non
 
 
 def _written_bytes(spark: SparkSession, bronze: str, hours: DataFrame) -> DataFrame:
-    """Bytes per hour, listing only the folders of these hours."""
-    names = [_partition_dir(bronze, h) for (h,) in hours.select("hour").toLocalIterator()]
-    names = [p for p in names if path_exists(spark, p)]
-    if not names:
+    """Bytes per hour, listing only the days that these hours lie in."""
+    days = hours.select(F.to_date("hour").alias("d")).distinct().toLocalIterator()
+    folders = [f"{bronze}/event_date={d:%Y-%m-%d}" for (d,) in days]
+    folders = [p for p in folders if path_exists(spark, p)]
+    if not folders:
         return spark.createDataFrame([], "hour timestamp_ntz, bytes_written bigint")
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", "true")
-        .load(names)
-        .select("path", "length")
-    )
-    return files.groupBy(partition_hour(F.col("path")).alias("hour")).agg(
-        F.sum("length").alias("bytes_written")
+        .load(folders)
+        .select(partition_hour(F.col("path")).alias("hour"), "length")
     )
+    sizes = files.groupBy("hour").agg(F.sum("length").alias("bytes_written"))
+    return sizes.join(hours, "hour", "left_semi")
 
 
 def partition_hour(path: Column) -> Column:
