@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from hourlake.functions.time import FAR_FUTURE, ntz
 from hourlake.operators.skew import HEAVY_ROWS, MAX_PIECES, find_spans, spread_nulls, zero
 
+#: Up to this many versions per entity, comparing a fact row with all of them is cheaper than sorting.
+FEW_VERSIONS = 32
+
 
 def point_in_time_join(
     fact: DataFrame,
@@ -16,7 +19,7 @@ def point_in_time_join(
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
     how: str = "left",
-    strategy: str = "range",
+    strategy: str = "auto",
     heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """``fact`` plus the columns of the ``dim`` version with ``valid_from <= ts < valid_to``.
@@ -24,15 +27,21 @@ def point_in_time_join(
     ``valid_to`` NULL means still valid. Rows without a version (or with a NULL key) are kept with
     NULLs for ``how='left'`` and dropped for ``how='inner'``. Two strategies, same result:
 
-    * ``range`` - equi join with a range residual. Best when entities have few versions: a small
-      dimension is broadcast by Spark after its own size check and the fact is not shuffled; beyond
-      that it is a sort-merge join whose heavy fact keys the adaptive skew join splits.
+    * ``range`` - equi join with a range residual: every fact row meets every version of its entity.
+      Best when entities have few versions: a small dimension is broadcast by Spark after its own
+      size check and the fact is not shuffled; beyond that it is a sort-merge join whose heavy fact
+      keys the adaptive skew join splits.
     * ``window`` - versions are merged into the fact's time order and the last one is carried
       forward: one shuffle and one sort, linear in rows however many versions an entity has. Heavy
       keys are cut into time spans, so no key has to fit one task. Needs non-overlapping versions.
+
+    ``auto`` counts versions (an aggregate over the dimension) and takes ``range`` if no entity has
+    more than ``FEW_VERSIONS``.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type {how!r}")
+    if strategy == "auto":
+        strategy = "range" if _most_versions(dim, key) <= FEW_VERSIONS else "window"
     if strategy == "range":
         return _range(fact, dim, key, ts, valid_from, valid_to, how)
     if strategy == "window":
@@ -40,6 +49,11 @@ def point_in_time_join(
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
+def _most_versions(dim: DataFrame, key: str) -> int:
+    counts = dim.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+    return counts.agg(F.max("n")).first()[0] or 0
+
+
 def _open_end(c):
     return F.coalesce(c, ntz(FAR_FUTURE))
 

@@ -166,6 +166,6 @@ class ChecksFailed(Exception):
 
 def raise_on_failure(outcomes: DataFrame) -> None:
     """Raise if a check failed; warnings pass. Reads one row per check."""
-    bad = [r["unique_id"] for r in outcomes.filter(F.col("status") == "fail").toLocalIterator()]
+    bad = [r["unique_id"] for r in outcomes.filter(F.col("status") == "fail").collect()]
     if bad:
         raise ChecksFailed(", ".join(sorted(bad)))

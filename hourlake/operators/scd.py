@@ -70,8 +70,9 @@ def scd2_from_history(
     key are ignored. Validity follows event time, so rebuilding from late data splits versions
     correctly.
     """
-    rows = latest_per_key(obs.filter(F.col(key).isNotNull()), [key, ts], list(tiebreak))
-    spans = find_spans(rows, [key], ts, heavy_rows)
+    obs = obs.filter(F.col(key).isNotNull())
+    spans = find_spans(obs, [key], ts, heavy_rows)
+    rows = latest_per_key(obs, [key, ts], list(tiebreak))
     rows = rows.withColumn("_span", F.lit(0)) if spans is None else spans.assign(rows, ts)
     rows = rows.withColumn("_now", F.struct(*check_cols))
     w = Window.partitionBy(key, "_span").orderBy(ts)

@@ -162,7 +162,7 @@ def find_spans(
         .agg(F.first("_n").alias("_n"), F.percentile_approx("_t", grid, 10_000).alias("_q"))
     )
     out = []
-    for r in sketched.toLocalIterator():
+    for r in sketched.collect():
         pieces = min(MAX_PIECES, max(2, -(-r["_n"] // heavy_rows)))
         step = MAX_PIECES / pieces
         cuts = [r["_q"][round(i * step) - 1] for i in range(1, pieces)]

@@ -68,9 +68,7 @@ def upsert_table(
     searched = target if search_from is None else target.filter(F.col(partition) >= search_from)
     hit = searched.join(updates.select(*keys), list(keys), "left_semi").select(partition)
     # One value per touched partition (calendar dates here), not per row.
-    touched = [
-        r[0] for r in updates.select(partition).unionByName(hit).distinct().toLocalIterator()
-    ]
+    touched = [r[0] for r in updates.select(partition).unionByName(hit).distinct().collect()]
     if not touched:
         return []
     kept = target.filter(F.col(partition).isin(touched)).join(
@@ -86,7 +84,8 @@ def replace_partitions(rows: DataFrame, path: str, partition: str, values: list)
     ``rows`` may be computed from the table itself: it is staged first. Partitions that get no row
     are rewritten empty, because dynamic overwrite would leave their old rows in place.
     """
-    staged = written(rows, "partitions", [partition])
+    # Rebalancing gives files of even size: small partitions share a task, a huge one is split.
+    staged = written(rows.hint("rebalance", partition), "partitions", [partition])
     by_time = [c for c in ("created_at",) if c in staged.columns]
     (
         staged.sortWithinPartitions(partition, *by_time)
@@ -96,7 +95,7 @@ def replace_partitions(rows: DataFrame, path: str, partition: str, values: list)
         .partitionBy(partition)
         .parquet(path)
     )
-    filled = {r[0] for r in staged.select(partition).distinct().toLocalIterator()}
+    filled = {r[0] for r in staged.select(partition).distinct().collect()}
     for value in values:
         folder = f"{path}/{partition}={value}"
         if value not in filled and path_exists(rows.sparkSession, folder):

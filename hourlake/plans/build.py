@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -69,12 +69,19 @@ def _publish(df: DataFrame, path: str) -> DataFrame:
 
 
 def build(
-    spark: SparkSession, paths: LakePaths, now: datetime, run_id: str, retention_days: int | None = None
+    spark: SparkSession,
+    paths: LakePaths,
+    now: datetime,
+    run_id: str,
+    retention_days: int | None = None,
+    correction_days: int | None = None,
 ) -> dict[str, DataFrame]:
     """Bring all tables up to date and check them; raises if an error-severity check fails.
 
     Silver is rebuilt from the retained bronze. The fact only takes batches it has not consumed, and
-    the per-day marts are recomputed for just the days whose fact rows changed.
+    the per-day marts are recomputed for just the days whose fact rows changed. ``correction_days``
+    bounds how far back a re-delivered event can have moved its day from; without it the old row of
+    every updated event is searched for in the whole fact.
     """
     pin_utc(spark)
     bronze = read_bronze(spark, paths.bronze)
@@ -101,7 +108,12 @@ def build(
     new = unconsumed(events, ledger)
     taken = written(batches(new), "batches")
     rows = gold.fact_events(new, t["dim_repo"], opened)
-    days = upsert_table(spark, paths.gold("fact_events"), rows, ["event_id"], "date_key", FACT_EVENTS)
+    since = None
+    if correction_days is not None:
+        since = int(f"{now - timedelta(days=correction_days):%Y%m%d}")
+    days = upsert_table(
+        spark, paths.gold("fact_events"), rows, ["event_id"], "date_key", FACT_EVENTS, since
+    )
     # Only now: a run that dies before this line takes the same batches again, with the same result.
     append(taken.coalesce(1), paths.ledger)
 

@@ -107,7 +107,7 @@ def fact_events(
     events: DataFrame,
     dim_repo: DataFrame,
     opened: DataFrame,
-    strategy: str = "range",
+    strategy: str = "auto",
     heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """One row per event.

@@ -34,14 +34,14 @@ OUTCOME = (
 
 # Only the fields bronze keeps are declared, so the JSON parser skips everything else. All leaves are
 # text: a wrongly typed optional field then costs that field, not the row.
-_LINE = """e struct<
+_LINE = """e array<struct<
   id string, type string, created_at string,
   actor struct<id string, login string>,
   repo struct<id string, name string>,
   org struct<id string>,
   payload struct<action string,
                  pull_request struct<number string>,
-                 issue struct<number string>>>"""
+                 issue struct<number string>>>>"""
 _JSON_OPTIONS = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
 
 _REQUIRED = ("event_id", "created_at", "actor_id", "actor_login")
@@ -70,13 +70,13 @@ def classify_lines(
     stamp = ingested_at if isinstance(ingested_at, Column) else ntz(ingested_at)
     extra = [c for c in lines.columns if c not in ("value", "source_file")]
 
-    # Parsing the line as the value of a wrapping object makes text after the object an error too.
-    wrapped = F.concat(F.lit('{"e":'), F.col("value"), F.lit("}"))
-    parsed = lines.filter(~F.col("value").rlike(r"^\s*$")).select(
-        "value",
-        "source_file",
-        *extra,
-        F.when(F.is_valid_utf8("value"), F.from_json(wrapped, _LINE, _JSON_OPTIONS)["e"]).alias("e"),
+    # As the only element of an array, so that text before or after the object is an error too.
+    wrapped = F.concat(F.lit('{"e":['), F.col("value"), F.lit("]}"))
+    elements = F.from_json(wrapped, _LINE, _JSON_OPTIONS)["e"]
+    parsed = (
+        lines.filter(~F.col("value").rlike(r"^\s*$"))
+        .withColumn("e", F.when(F.is_valid_utf8("value"), elements))
+        .withColumn("e", F.when(F.size("e") == 1, F.get("e", F.lit(0))))
     )
     nulled = F.lit(0)
     for path, kind in _NUMERIC_OPTIONAL.values():
@@ -214,7 +214,7 @@ def ingest_hours(
     # One entry per landed file of the requested hours: bounded by the calendar, not by the data.
     found = written(todo.join(landing_files(spark, landing), "hour", "left"), "landed")
     todo = found.select("hour").distinct()
-    paths = [r[0] for r in found.filter(F.col("path").isNotNull()).select("path").toLocalIterator()]
+    paths = [r[0] for r in found.filter(F.col("path").isNotNull()).select("path").collect()]
 
     rows, bad = _parse_or_isolate(spark, paths, event_types, stamp)
     errors = found.select(
@@ -279,7 +279,7 @@ def _parse_or_isolate(spark, paths, event_types, stamp):
         except Exception as e:
             if not _is_read_failure(e) or bad:
                 raise
-            bad = [(r["path"], r["error"]) for r in unreadable_files(spark, paths).toLocalIterator()]
+            bad = [(r["path"], r["error"]) for r in unreadable_files(spark, paths).collect()]
             if not bad:
                 raise
             hours = spark.createDataFrame([(p,) for p in paths], "path string").withColumn(
@@ -288,7 +288,7 @@ def _parse_or_isolate(spark, paths, event_types, stamp):
             lost = spark.createDataFrame(bad, "path string, e string").select(
                 hour_of_path(F.col("path")).alias("hour")
             )
-            paths = [r[0] for r in hours.join(lost, "hour", "left_anti").select("path").toLocalIterator()]
+            paths = [r[0] for r in hours.join(lost, "hour", "left_anti").select("path").collect()]
     return None, bad
 
 
@@ -305,7 +305,7 @@ def _partition_dir(root: str, hour: datetime) -> str:
 def _empty_partitions(spark: SparkSession, bronze: str, hours: DataFrame) -> None:
     """Dynamic overwrite leaves a partition alone when it gets no rows; replace those explicitly."""
     empty = spark.createDataFrame([], BRONZE)
-    for (hour,) in hours.select("hour").toLocalIterator():
+    for (hour,) in hours.select("hour").collect():
         folder = _partition_dir(bronze, hour)
         if path_exists(spark, folder):
             empty.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
@@ -313,7 +313,7 @@ def _empty_partitions(spark: SparkSession, bronze: str, hours: DataFrame) -> Non
 
 def _written_bytes(spark: SparkSession, bronze: str, hours: DataFrame) -> DataFrame:
     """Bytes per hour, listing only the days that these hours lie in."""
-    days = hours.select(F.to_date("hour").alias("d")).distinct().toLocalIterator()
+    days = hours.select(F.to_date("hour").alias("d")).distinct().collect()
     folders = [f"{bronze}/event_date={d:%Y-%m-%d}" for (d,) in days]
     folders = [p for p in folders if path_exists(spark, p)]
     if not folders:

@@ -13,6 +13,10 @@ DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.parquet.filterPushdown": "true",
+    # Keys of a long dedupe window do not fit executor heaps.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     # A partial hour must never be published, so unreadable files stay fatal.
     "spark.sql.files.ignoreCorruptFiles": "false",
     "spark.sql.files.ignoreMissingFiles": "false",

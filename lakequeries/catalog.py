@@ -59,7 +59,7 @@ def _history(ev: DataFrame) -> DataFrame:
     return gold.with_repo_keys(gold.dim_repo_history(ev))
 
 
-def _fact(spark, sf, strategy="range") -> DataFrame:
+def _fact(spark, sf, strategy="auto") -> DataFrame:
     # Silver is a published table in the lake; here it is written once and read by each consumer.
     ev = written(_events(spark, sf), "silver")
     return gold.fact_events(ev, _history(ev), gold.opened_prs(ev), strategy)
@@ -134,7 +134,7 @@ def _landing(spark, sf) -> str:
 @query
 def s01_hourly_ndjson_scan(spark, sf):
     files = landing_files(spark, _landing(spark, sf))
-    lines = read_lines(spark, [r[0] for r in files.select("path").toLocalIterator()])
+    lines = read_lines(spark, [r[0] for r in files.select("path").collect()])
     return lines.groupBy(hour_of_path(F.col("source_file")).alias("hour")).agg(F.count("*").alias("lines"))
 
 
