@@ -9,8 +9,8 @@ from pyspark.sql import Column, functions as F
 # Fixed value: stands for "still valid" in half-open intervals.
 FAR_FUTURE = datetime(9999, 12, 31)
 
-_ZONE = r"(?:[Zz]|([+-])(\d{2}):?(\d{2})(?::?(\d{2}))?)$"
-_ISO_START = r"^\d{4}-\d{2}-\d{2}"
+# ISO-8601 date, optional time, optional offset.
+_ISO = r"^\d{4}-\d{2}-\d{2}(?:[Tt ][\d:.]+(?:[Zz]|[+-][\d:]+)?)?$"
 
 
 def _col(c: Column | str) -> Column:
@@ -25,25 +25,13 @@ def ntz(value: datetime) -> Column:
 
 
 def iso_to_utc(c: Column | str) -> Column:
-    """ISO-8601 text to zone-less UTC: an offset is subtracted, no offset means UTC.
+    """ISO-8601 text to zone-less UTC: an offset is applied, no offset means UTC.
 
-    The offset is applied arithmetically, so the result does not depend on the session zone.
-    Text that is not a timestamp gives NULL.
+    Goes through an instant on purpose: casting straight to a zone-less timestamp would silently drop
+    the offset. Text that is not a timestamp gives NULL.
     """
     text = _col(c)
-
-    def offset_part(i: int) -> Column:
-        return F.coalesce(F.regexp_extract(text, _ZONE, i).try_cast("int"), F.lit(0))
-
-    offset = offset_part(2) * 3600 + offset_part(3) * 60 + offset_part(4)
-    east = F.regexp_extract(text, _ZONE, 1) == "+"
-    to_utc = F.make_dt_interval(secs=F.when(east, -offset).otherwise(offset).cast("decimal(18,6)"))
-    local = F.regexp_replace(text, _ZONE, "").try_cast("timestamp_ntz")
-    # Nearly every value ends in Z: that branch needs one cast and no further regex.
-    plain = F.substring(text, 1, F.length(text) - 1).try_cast("timestamp_ntz")
-    return F.when(
-        text.rlike(_ISO_START), F.when(text.endswith("Z"), plain).otherwise(local + to_utc)
-    )
+    return F.when(text.rlike(_ISO), text.try_cast("timestamp")).cast("timestamp_ntz")
 
 
 def micros(c: Column | str) -> Column:

@@ -75,8 +75,11 @@ def classify_lines(
     elements = F.from_json(wrapped, _LINE, _JSON_OPTIONS)["e"]
     parsed = (
         lines.filter(~F.col("value").rlike(r"^\s*$"))
-        .withColumn("e", F.when(F.is_valid_utf8("value"), elements))
-        .withColumn("e", F.when(F.size("e") == 1, F.get("e", F.lit(0))))
+        .withColumn("_found", F.when(F.is_valid_utf8("value"), elements))
+        # Through a generator: filters on the result then stay above it, instead of being pushed down
+        # as copies that would parse the line again for every field they test.
+        .withColumn("e", F.explode(F.array(F.when(F.size("_found") == 1, F.get("_found", F.lit(0))))))
+        .drop("_found")
     )
     nulled = F.lit(0)
     for path, kind in _NUMERIC_OPTIONAL.values():
