@@ -55,9 +55,14 @@ def grouped_percentiles(
     target = coarse.filter(wanted).select(*keys, "_bucket", "_before", "_total")
 
     in_bucket = Window.partitionBy(*keys, "_bucket").orderBy("_code")
-    fine = counts.join(target, [*keys, "_bucket"]).withColumn(
-        "_upto", F.col("_before") + F.sum("_n").over(in_bucket.rowsBetween(Window.unboundedPreceding, 0))
-    )
+    # Null-safe, so that a NULL group is a group, and so that both uses of the counts stay the same
+    # subplan and share one scan and shuffle.
+    target = target.select(*[F.col(k).alias(f"_t{i}") for i, k in enumerate([*keys, "_bucket"])], "_before", "_total")
+    same = F.lit(True)
+    for i, k in enumerate([*keys, "_bucket"]):
+        same = same & F.col(k).eqNullSafe(F.col(f"_t{i}"))
+    running = F.sum("_n").over(in_bucket.rowsBetween(Window.unboundedPreceding, 0))
+    fine = counts.join(target, same).withColumn("_upto", F.col("_before") + running)
     picks = []
     for name, p in probs.items():
         for up in (False, True):

@@ -24,16 +24,24 @@ from pyspark.sql import types as T
 from hourlake.functions.time import micros
 
 #: A key with fewer rows than this fits one task and is never split.
-HEAVY_ROWS = 2_000_000
+HEAVY_ROWS = 5_000_000
 MAX_KEYS = 1_000
 #: Finest split of one key.
 MAX_PIECES = 512
 
 
+def size_estimate(df: DataFrame) -> int:
+    """Spark's own estimate of the size of ``df`` in bytes (what it decides broadcasts by)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def heavy_keys(
     df: DataFrame, keys: Sequence[str], heavy_rows: int = HEAVY_ROWS, max_keys: int = MAX_KEYS
 ) -> DataFrame | None:
     """``keys`` and row count ``_n`` of the at most ``max_keys`` heaviest keys, or None."""
+    if size_estimate(df) < heavy_rows:
+        # Less than a byte per row for even one such key: not worth a job.
+        return None
     counts = df.select(*keys).dropna().groupBy(*keys).agg(F.count("*").alias("_n"))
     top = counts.filter(F.col("_n") >= heavy_rows).orderBy(F.desc("_n")).limit(max_keys)
     rows = top.collect()

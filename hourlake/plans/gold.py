@@ -24,10 +24,14 @@ def is_opened() -> Column:
     return (F.col("event_type") == PR_EVENT) & (F.col("action") == "opened")
 
 
+def merge_rows() -> Column:
+    """For filtering: plain comparisons reach the Parquet scan."""
+    return (F.col("event_type") == PR_EVENT) & (F.col("action") == "merged")
+
+
 def is_merged() -> Column:
-    """Never NULL: an event without an action is not a merge."""
-    merged = (F.col("event_type") == PR_EVENT) & (F.col("action") == "merged")
-    return F.coalesce(merged, F.lit(False))
+    """As a value: never NULL, an event without an action is not a merge."""
+    return F.coalesce(merge_rows(), F.lit(False))
 
 
 def dim_event_type(spark: SparkSession, seed: DataFrame | None = None) -> DataFrame:
@@ -99,7 +103,7 @@ def pr_lifecycle(
 ) -> DataFrame:
     """One row per merge event whose opening is known."""
     return open_merge_pairs(
-        events, is_opened(), is_merged(), opened=opened, merge_pick=merge_pick, heavy_rows=heavy_rows
+        events, is_opened(), merge_rows(), opened=opened, merge_pick=merge_pick, heavy_rows=heavy_rows
     )
 
 
@@ -116,11 +120,11 @@ def fact_events(
     merge rows, a small part of the events, go through the join that finds their opening; all other
     rows bypass it. Pass the published ``events`` table: it is scanned once for each part.
     """
-    merge_rows = salted_join(
-        events.filter(is_merged()), opened, ["repo_id", "pr_number"], "left", heavy_rows
+    merges = salted_join(
+        events.filter(merge_rows()), opened, ["repo_id", "pr_number"], "left", heavy_rows
     ).withColumn("hours_to_merge", elapsed_hours("opened_at", "created_at"))
     others = events.filter(~is_merged()).withColumn("hours_to_merge", F.lit(None).cast("double"))
-    rows = others.unionByName(merge_rows.drop("opened_at"))
+    rows = others.unionByName(merges.drop("opened_at"))
     base = rows.select(
         "event_id",
         "event_type",

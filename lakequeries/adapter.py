@@ -12,7 +12,7 @@ from hourlake.session import pin_utc
 #: "Now" of every query, just after the last event, so that results do not depend on the clock.
 NOW = datetime(2024, 1, 31)
 
-#: Tasks that write the many small per-hour files of the test tables.
+#: Tasks that write or parse the lines of the test feed.
 PARTS = 16
 
 # What each event type of the table stands for in the feed.
@@ -107,13 +107,26 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(*RUN_LOG.names)
 
 
-def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed as raw text ``(value, source_file)``.
+def whole_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed as well-formed raw text ``(value, source_file)``; pushes carry an offset of +05:30."""
+    return _lines(feed(spark, sf_dir)).select("value", "source_file")
+
 
-    Issue events are cut short (malformed), pushes carry an offset of +05:30, and every pull-request
+def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``whole_lines``, with faults: issue events are cut short (malformed) and every pull-request
     opening is followed by a blank line.
     """
-    ev = feed(spark, sf_dir)
+    lines = _lines(feed(spark, sf_dir))
+    cut = F.substring("value", 1, F.length("value") - 1)
+    text = F.when(F.col("event_type") == "IssuesEvent", cut).otherwise(F.col("value"))
+    opened = F.coalesce(F.col("action") == "opened", F.lit(False))
+    texts = F.when(opened, F.array(text, F.lit("  \t"))).otherwise(F.array(text))
+    return lines.select(F.explode(texts).alias("value"), "source_file")
+
+
+def _lines(ev: DataFrame) -> DataFrame:
+    # The table is one small split; the feed's lines come from many files.
+    ev = ev.repartition(PARTS)
     pattern = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
     push = F.col("event_type") == "PushEvent"
     local = F.date_format(F.col("created_at") + F.expr("INTERVAL '05:30' HOUR TO MINUTE"), pattern)
@@ -135,18 +148,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).alias("payload"),
         )
     )
-    text = F.when(F.col("event_type") == "IssuesEvent", F.substring(line, 1, F.length(line) - 1)).otherwise(line)
-    opened = F.coalesce(F.col("action") == "opened", F.lit(False))
-    return ev.select(
-        F.explode(F.when(opened, F.array(text, F.lit("  \t"))).otherwise(F.array(text))).alias("value"), "source_file"
-    )
-
-
-def whole_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Well-formed lines only, for profiling: the cut-short ones get their brace back."""
-    lines = raw_lines(spark, sf_dir).filter(F.trim("value") != "").filter(~F.col("value").rlike(r"^\s*$"))
-    closed = F.when(F.from_json("value", "id string")["id"].isNull(), F.concat("value", F.lit("}")))
-    return lines.withColumn("value", F.coalesce(closed, "value"))
+    return ev.select(line.alias("value"), "source_file", "event_type", "action")
 
 
 def land(lines: DataFrame, landing: str) -> None:
