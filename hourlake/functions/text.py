@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+# The Unicode space separators (category Zs).
+SPACES = "\u0020\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def trim_spaces(c: Column | str) -> Column:
     """Strip every Unicode space separator (not only 0x20) from both ends; tabs stay."""
-    return F.regexp_replace(_col(c), r"^\p{Zs}+|\p{Zs}+$", "")
+    return F.trim(_col(c), F.lit(SPACES))
 
 
 def conform_name(c: Column | str) -> Column:

@@ -67,15 +67,25 @@ def scd2_from_history(
     A version starts at the first observation and whenever a ``check_cols`` value differs from the
     preceding observation; it ends where the next one starts. Of several observations of a key at
     the same instant the last by ``tiebreak`` (then by the remaining columns) counts. Rows without a
-    key are ignored. Validity follows event time, so rebuilding from late data splits versions
+    key or time are ignored. Validity follows event time, so rebuilding from late data splits versions
     correctly.
     """
-    obs = obs.filter(F.col(key).isNotNull())
+    obs = obs.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
+    rest = [c for c in obs.columns if c not in (key, ts)]
+    by = Window.partitionBy(key, "_span")
+    # One instant is sorted by the tie-breakers and its last row counts; the same sort serves all
+    # windows below, so ordinary keys need a single shuffle.
+    full = by.orderBy(ts, *tiebreak, *[c for c in rest if c not in tiebreak])
+    w = by.orderBy(ts)
     spans = find_spans(obs, [key], ts, heavy_rows)
-    rows = latest_per_key(obs, [key, ts], list(tiebreak))
-    rows = rows.withColumn("_span", F.lit(0)) if spans is None else spans.assign(rows, ts)
+    if spans is None:
+        rows = obs.withColumn("_span", F.lit(0))
+    else:
+        # With heavy keys, one instant of one key may be huge: reduce it before the shuffle.
+        rows = spans.assign(latest_per_key(obs, [key, ts], list(tiebreak)), ts)
+    rows = rows.withColumn("_after", F.lead(ts).over(full))
+    rows = rows.filter(~F.col("_after").eqNullSafe(F.col(ts))).drop("_after")
     rows = rows.withColumn("_now", F.struct(*check_cols))
-    w = Window.partitionBy(key, "_span").orderBy(ts)
 
     rows = rows.withColumn("_prev", F.lag("_now").over(w))
     if spans is not None:
@@ -86,7 +96,6 @@ def scd2_from_history(
         starts = _fill(
             starts, spans.carry(starts, F.col(ts), F.col(ts), forward=False), key, "valid_to"
         )
-    rest = [c for c in obs.columns if c not in (key, ts)]
     return starts.select(key, *rest, F.col(ts).alias("valid_from"), "valid_to")
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from hourlake.functions.time import ntz
 from hourlake.sources.files import path_exists, read_or_empty
@@ -60,8 +61,7 @@ def upsert_table(
     correction that moves a row to another partition rewrites both. ``search_from`` limits the search
     for old versions to partitions not before it; leave it unset unless older rows cannot change.
 
-    The new partitions are first written to shared scratch and then swapped in by dynamic overwrite,
-    so the table is never read while it is replaced. Applying the same updates again changes nothing.
+    Applying the same updates again changes nothing.
     """
     updates = written(updates, "upsert-in")
     target = read_or_empty(spark, path, schema)
@@ -81,23 +81,26 @@ def upsert_table(
 def replace_partitions(rows: DataFrame, path: str, partition: str, values: list) -> None:
     """Make ``rows`` the whole content of the listed partitions; no other partition is touched.
 
-    ``rows`` may be computed from the table itself: it is staged first. Partitions that get no row
-    are rewritten empty, because dynamic overwrite would leave their old rows in place.
+    ``rows`` may be computed from the table itself: dynamic overwrite swaps the partition folders
+    only after every task has finished, so a lost executor costs a recomputation and nothing else.
+    Partitions that get no row are rewritten empty, because the overwrite would leave them alone.
     """
+    spark = rows.sparkSession
+    by_time = [c for c in ("created_at",) if c in rows.columns]
+    seen = Observation()
     # Rebalancing gives files of even size: small partitions share a task, a huge one is split.
-    staged = written(rows.hint("rebalance", partition), "partitions", [partition])
-    by_time = [c for c in ("created_at",) if c in staged.columns]
     (
-        staged.sortWithinPartitions(partition, *by_time)
+        rows.hint("rebalance", partition)
+        .observe(seen, F.collect_set(partition).alias("filled"))
+        .sortWithinPartitions(partition, *by_time)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
         .partitionBy(partition)
         .parquet(path)
     )
-    filled = {r[0] for r in staged.select(partition).distinct().collect()}
-    for value in values:
+    empty = spark.createDataFrame([], T.StructType([f for f in rows.schema if f.name != partition]))
+    for value in set(values) - set(seen.get["filled"]):
         folder = f"{path}/{partition}={value}"
-        if value not in filled and path_exists(rows.sparkSession, folder):
-            empty = staged.drop(partition).limit(0)
+        if path_exists(spark, folder):
             empty.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
