@@ -27,8 +27,18 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the scratch folder."""
-    return f"{scratch_root(spark)}/hourlake/{label}-{uuid.uuid4().hex}"
+    """A new, unused path in this application's part of the scratch folder."""
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/hourlake/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete everything this application wrote to scratch; DataFrames that read it become invalid."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:

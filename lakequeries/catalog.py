@@ -207,6 +207,27 @@ def s08_partition_listing(spark, sf):
 # -- ingest -------------------------------------------------------------------------------------
 
 
+@query
+def i01_blank_lines(spark, sf):
+    lines = raw_lines(spark, sf)
+    read = ingest.classify_lines(lines, KEPT_TYPES, BATCH_TS).agg(F.count("*").alias("n")).scalar()
+    return lines.agg(F.count("*").alias("lines"), read.alias("rows_read"))
+
+
+@query
+def i02_malformed_lines(spark, sf):
+    rows = ingest.classify_lines(raw_lines(spark, sf), KEPT_TYPES, BATCH_TS)
+    bad = rows.filter(F.col("outcome") == ingest.MALFORMED)
+    return bad.groupBy("source_file").agg(F.count("*").alias("malformed_rows"))
+
+
+@query
+def i03_type_filter(spark, sf):
+    rows = ingest.classify_lines(raw_lines(spark, sf), KEPT_TYPES, BATCH_TS)
+    parsed = rows.filter(F.col("event_type").isNotNull())
+    return parsed.groupBy("event_type", "outcome").agg(F.count("*").alias("n"))
+
+
 @query
 def i04_flatten(spark, sf):
     good, _ = ingest.parse_events(raw_lines(spark, sf), KEPT_TYPES, BATCH_TS)
@@ -229,11 +250,32 @@ def i06_timestamp_normalisation(spark, sf):
     return o.select("o_orderkey", iso_to_utc(text).alias("placed_at"))
 
 
+@query
+def i07_lineage(spark, sf):
+    good, _ = ingest.parse_events(raw_lines(spark, sf), KEPT_TYPES, BATCH_TS)
+    return good.groupBy("source_file", "ingested_at").agg(F.count("*").alias("n"))
+
+
 @query
 def i08_line_counters(spark, sf):
     return ingest.line_counters(ingest.classify_lines(raw_lines(spark, sf), KEPT_TYPES, BATCH_TS))
 
 
+@query
+def i10_force_reingest(spark, sf):
+    """Everything ingested, then everything again by force: replaced, not added."""
+    landing, out, log = _landing(spark, sf), scratch_path(spark, "bronze"), scratch_path(spark, "runlog")
+    hours = i11_hour_range(spark, sf)
+    ingest.ingest_hours(spark, landing, out, log, hours, event_types=KEPT_TYPES, ingested_at=BATCH_TS)
+    last = ingest.ingest_hours(
+        spark, landing, out, log, hours, event_types=KEPT_TYPES, ingested_at=NOW, force=True
+    )
+    stored = read_bronze(spark, out).agg(F.count("*").alias("n"), F.min("ingested_at").alias("stamp"))
+    return last.groupBy("status").agg(F.sum("rows_kept").alias("rows_kept")).select(
+        "status", "rows_kept", stored.select("n").scalar().alias("stored"), stored.select("stamp").scalar().alias("stamp")
+    )
+
+
 @query
 def i11_hour_range(spark, sf):
     e = table(spark, sf, "events").agg(F.min("ts"), F.max("ts")).first()
@@ -539,6 +581,12 @@ def m02b_line_price_percentiles(spark, sf):
     return p.withColumns({c: F.round(c, 4) for c in ("p50", "p95", "p99")})
 
 
+@query
+def m03_back_derived_start(spark, sf):
+    """Opening times recomputed from the merge time and the whole-second duration."""
+    return _lifecycle(spark, sf).select("repo_id", "pr_number", "opened_at", "merged_at")
+
+
 @query
 def m04_hourly_volume(spark, sf):
     return _volume(spark, sf)
@@ -669,6 +717,23 @@ def q10_summary(spark, sf):
     return checks.summarise(tests.unionByName(models), NOW, "run")
 
 
+@query
+def q10b_declared_checks(spark, sf):
+    """The declared suite over the lake's tables, all made from the feed."""
+    t = {"stg_events": written(_events(spark, sf), "silver"), "pipeline_runs": runs(spark, sf)}
+    ev = t["stg_events"]
+    t["stg_repos"], t["stg_actors"] = silver.stg_repos(ev), silver.stg_actors(ev)
+    t["dim_date"], t["dim_event_type"] = dim_date(spark), gold.dim_event_type(spark)
+    t["dim_actor"], t["dim_repo"] = gold.dim_actor(t["stg_actors"]), written(_history(ev), "repos")
+    t["pr_lifecycle"] = written(gold.pr_lifecycle(ev), "pairs")
+    t["fact_events"] = fact = written(gold.fact_events(ev, t["dim_repo"], gold.opened_prs(ev)), "fact")
+    t["mart_daily_repo_activity"] = marts.daily_repo_activity(fact, t["dim_date"], t["dim_event_type"])
+    t["mart_hourly_volume"] = marts.hourly_volume(fact)
+    t["mart_pr_lifecycle"] = marts.pr_lifecycle_mart(fact)
+    t["mart_pipeline_health"] = health.pipeline_health(t["pipeline_runs"], fact, NOW)
+    return checks.run_checks(quality.default_checks(NOW), t)
+
+
 @query
 def q11_freshness(spark, sf):
     d = quality.freshness(feed(spark, sf), NOW, 3)

@@ -214,6 +214,23 @@ FROM events GROUP BY 1""")
 
 # -- ingest -------------------------------------------------------------------------------------
 
+_q("i01_blank_lines", """
+SELECT CAST(sum(CASE WHEN event_type = 'signup' THEN 2 ELSE 1 END) AS BIGINT) AS lines, count(*) AS rows_read FROM events""")
+_q("i02_malformed_lines", """
+SELECT source_file, count(*) AS malformed_rows FROM ev WHERE event_type = 'IssuesEvent' GROUP BY 1""", EV)
+_q("i03_type_filter", """
+SELECT event_type, CASE WHEN event_type = 'WatchEvent' THEN 'filtered' ELSE 'kept' END AS outcome, count(*) AS n
+FROM ev WHERE event_type != 'IssuesEvent' GROUP BY 1""", EV)
+_q("i07_lineage", f"""
+SELECT source_file, TIMESTAMP '2024-02-01' AS ingested_at, count(*) AS n FROM ev WHERE {KEPT} GROUP BY 1""", EV)
+_q("i10_force_reingest", f"""
+, present AS (SELECT DISTINCT hour FROM hours WHERE hour IN (SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) FROM events)),
+s AS (
+  SELECT 'success' AS status, count(*) FILTER (WHERE {KEPT}) AS rows_kept FROM ev
+  UNION ALL SELECT 'failed', 0 WHERE (SELECT count(*) FROM hours) > (SELECT count(*) FROM present)
+)
+SELECT status, rows_kept, (SELECT count(*) FROM ev WHERE {KEPT}) AS stored, TIMESTAMP '2024-01-31' AS stamp FROM s""",
+   HOURS + "," + EV)
 _q("i04_flatten", f"""
 SELECT * REPLACE (TIMESTAMP '2024-02-01' AS ingested_at) FROM ev WHERE {KEPT}""", EV)
 _q("i05_quarantine", """
@@ -354,6 +371,9 @@ _q("m02_lifecycle_percentiles", """
 SELECT repo_id, pr_number, opened_at, merged_at, round(CAST(hours_to_merge AS DOUBLE), 6) AS hours_to_merge,
   round(CAST(repo_p50_hours_to_merge AS DOUBLE), 6) AS repo_p50_hours_to_merge,
   round(CAST(repo_p95_hours_to_merge AS DOUBLE), 6) AS repo_p95_hours_to_merge FROM lifecycle""", LIFECYCLE)
+_q("m03_back_derived_start", """
+SELECT repo_id, pr_number, merged_at - date_diff('second', opened_at, merged_at) * INTERVAL 1 SECOND AS opened_at, merged_at
+FROM pairs""", EV + pairs("ev"))
 _q("m02b_line_price_percentiles", """
 SELECT l_returnflag, l_linestatus, round(quantile_cont(l_extendedprice, 0.5), 4) AS p50,
   round(quantile_cont(l_extendedprice, 0.95), 4) AS p95, round(quantile_cont(l_extendedprice, 0.99), 4) AS p99
