@@ -36,7 +36,7 @@ def test_every_sql_belongs_to_a_query():
 
 
 def test_no_cartesian_products(spark):
-    for name in ("g07_point_in_time_join", "g07b_asof_window", "g10_fact_events", "m01_daily_activity", "m02_lifecycle_percentiles"):
+    for name in ("g02_scd2_snapshot", "g07_point_in_time_join", "g07b_asof_window", "g10_fact_events", "m01_daily_activity", "m02_lifecycle_percentiles"):
         plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "Cartesian" not in plan and "NestedLoop" not in plan
 

@@ -145,3 +145,10 @@ def test_footprint(spark, tmp_path):
     assert got["bronze"]["file_count"] >= 1 and got["bronze"]["bytes"] > 0
     assert got["bronze"]["mb"] == pytest.approx(got["bronze"]["bytes"] / 1024**2)
     assert (got["silver"]["file_count"], got["silver"]["bytes"]) == (0, 0)
+
+
+def test_scratch_can_be_cleared(spark):
+    path = scratch.scratch_path(spark, "y")
+    spark.range(3).write.parquet(path)
+    scratch.clear_scratch(spark)
+    assert not os.path.exists(path)
