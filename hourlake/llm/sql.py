@@ -1,0 +1,61 @@
+"""DuckDB SQL with the results of the queries that SQL can express."""
+
+from __future__ import annotations
+
+_WS = r"[\x20\x09-\x0D]+"
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"list_filter(regexp_split_to_array(coalesce({{}}, ''), '{_WS}'), lambda x: x <> '')"
+
+SQL: dict[str, str] = {}
+
+SQL["op3_quality_rules"] = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, {_WORDS.format('text')} AS words,
+         string_split(coalesce(text, ''), chr(10)) AS lines
+  FROM documents
+), w AS (
+  SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM d
+), g AS (
+  SELECT doc_id, i, w AS a, lead(w, 1) OVER p AS b, lead(w, 2) OVER p AS c FROM w WINDOW p AS (PARTITION BY doc_id ORDER BY i)
+), r AS (
+  SELECT doc_id, i FROM g WHERE c IS NOT NULL QUALIFY count(*) OVER (PARTITION BY doc_id, a, b, c) > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM r) GROUP BY doc_id
+), dup AS (
+  SELECT doc_id, sum(n - 1) AS n FROM (
+    SELECT doc_id, line, count(*) AS n FROM (SELECT doc_id, unnest(lines) AS line FROM d)
+    WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id, line) GROUP BY doc_id
+), m AS (
+  SELECT d.doc_id, len(words)::BIGINT AS n_words,
+         length(array_to_string(words, ''))::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         coalesce(dup.n, 0)::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
+         len(lines) AS n_lines, length(regexp_replace(text, '[^A-Za-z\x{{80}}-\x{{10FFFF}}]', '', 'g')) AS n_letters,
+         length(regexp_replace(text, '[^0-9]', '', 'g')) AS n_digits
+  FROM d LEFT JOIN dup USING (doc_id) LEFT JOIN covered USING (doc_id)
+), f AS (
+  SELECT *, (CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
+    + CASE WHEN 10 * n_symbols > 3 * n_words THEN 4 ELSE 0 END + CASE WHEN n_lines > 3 AND 100 * n_dup_lines > 50 * n_lines THEN 8 ELSE 0 END
+    + CASE WHEN word_chars < 2 * n_words THEN 16 ELSE 0 END + CASE WHEN word_chars > 25 * n_words THEN 32 ELSE 0 END
+    + CASE WHEN 100 * n_letters < 50 * word_chars THEN 64 ELSE 0 END + CASE WHEN 100 * n_digits > 30 * word_chars THEN 128 ELSE 0 END)::BIGINT AS failed
+  FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 <> 0 AS base_failed, failed = 0 AS kept, failed FROM f
+"""
+
+SQL["op10_line_dedup"] = rf"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
+  FROM documents
+), k AS (
+  SELECT *, {_LOWER.format("regexp_replace(line, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g')")} AS key FROM l
+), many AS (
+  SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+), m AS (
+  SELECT doc_id, i, line, key IN (SELECT key FROM many) AS gone FROM k
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
