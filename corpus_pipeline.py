@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourlake.llm import line_dedup, quality_rules, simhash
+from hourlake.llm import decontaminate, line_dedup, packing, quality_rules, queries, simhash
 from hourlake.sources.scratch import written
 
 #: SQL can't express the stages; see tests/llm for the brute-force versions.
@@ -29,11 +29,28 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.first_of_each(docs, size=4, distance=4)
 
 
-STAGES = [("quality_rules", quality), ("line_dedup", lines), ("simhash_near_dedup", near_duplicates)]
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.clean_documents(docs, queries.table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left becomes full sequences with the corpus mixture of sources."""
+    return packing.pack(docs, queries.vocabulary_path(), length=1024)
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("line_dedup", lines),
+    ("simhash_near_dedup", near_duplicates),
+    ("decontaminate", decontaminated),
+    ("packing", packed),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``, one after the other."""
+    docs = queries.table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

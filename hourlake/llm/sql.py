@@ -59,3 +59,46 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM m GROUP BY doc_id
 """
+
+SQL["op1_suffix_array_dedup"] = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), w AS (
+  SELECT doc_id, i, md5(substr(h, 2 * i + 1, 400)) AS k FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 199)) AS i FROM d)
+), r AS (
+  SELECT doc_id, i FROM w QUALIFY count(*) OVER (PARTITION BY k) > 1
+), o AS (
+  SELECT doc_id, i, i > lag(i, 1, -1000) OVER (PARTITION BY doc_id ORDER BY i) + 200 AS fresh FROM r
+), g AS (
+  SELECT doc_id, i, count(*) FILTER (fresh) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM o
+), s AS (
+  SELECT doc_id, span, min(i) AS a, max(i) + 200 AS b FROM g GROUP BY doc_id, span
+), p AS (
+  SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM s
+), c AS (
+  SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+         string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
+  FROM p JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN c USING (doc_id)
+"""
+
+SQL["op2_substring_dedup"] = rf"""
+WITH d AS (
+  SELECT doc_id, {_WORDS.format('text')} AS words FROM documents
+), w AS (
+  SELECT doc_id, i, md5(array_to_string(words[i:i + 12], ' ')) AS k FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM d)
+), r AS (
+  SELECT doc_id, i FROM w QUALIFY min(doc_id) OVER (PARTITION BY k) < doc_id
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS j FROM r
+), each AS (
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS j FROM d
+), kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY j) AS text FROM each ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
