@@ -62,21 +62,21 @@ def _encoders(path: str):
     return tokenizer, fast, special
 
 
-def encode(texts: list[str], path: str) -> list[list[int]]:
+def encode(texts: list[str], path: str) -> list[np.ndarray]:
     """Token ids of the texts without special tokens added.
 
     The rank reader gives the same ids, four times as fast, for texts of Latin letters without a
     special token's string; all others go through the tokenizer itself.
     """
     tokenizer, fast, special = _encoders(path)
-    out: list[list[int] | None] = []
+    out: list[np.ndarray | None] = []
     for text in texts:
         raw = text.encode("utf-8", "surrogatepass")
         plain = fast is not None and not any(s in raw for s in special) and (text.isascii() or np.frombuffer(raw, np.uint8).max() < 0xCA)
-        out.append(fast.encode_ordinary(text) if plain else None)
+        out.append(np.asarray(fast.encode_to_numpy(text, disallowed_special=()), dtype="<u4") if plain else None)
     slow = [i for i, ids in enumerate(out) if ids is None]
     for i, e in zip(slow, tokenizer.encode_batch([texts[i] for i in slow], add_special_tokens=False), strict=True):
-        out[i] = e.ids
+        out[i] = np.array(e.ids, dtype="<u4")
     return out
 
 
@@ -91,14 +91,15 @@ def _tokenized(path: str):
                 while j < len(ids) and (j == i or room + len(texts[j] or "") <= CHUNK):
                     room += len(texts[j] or "")
                     j += 1
-                tokens = [x + [END] for x in encode([t or "" for t in texts[i:j]], path)]
+                end = np.array([END], dtype="<u4")
+                tokens = [np.concatenate([x, end]) for x in encode([t or "" for t in texts[i:j]], path)]
                 names = sorted({s or "" for s in sources[i:j]})
                 place = {s: k for k, s in enumerate(names)}
                 which = [place[s or ""] for s in sources[i:j]]
                 totals = [0] * len(names)
                 for k, x in zip(which, tokens, strict=True):
                     totals[k] += len(x)
-                flat = np.concatenate([np.array(x, dtype="<u4") for x in tokens])
+                flat = np.concatenate(tokens)
                 flat = flat.astype("<u2") if _encoders(path)[0].get_vocab_size() <= 1 << 16 else flat
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -119,23 +120,34 @@ def _tokenized(path: str):
 def emitted(upto: np.ndarray, weights: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     """How many tokens of each queue are among the first ``upto`` ones (one row for each value).
 
-    Token x of queue q is due at (2x + 1) / weight; equal times go in the order of the queues. The time
-    at which enough are due is found by bisection, the last few tokens one by one.
+    Token x of queue q is due at (2x + 1) / weight; equal times go in the order of the queues. A time by which not
+    quite enough are due is guessed from the weights' sum (or bisected, once queues have run empty);
+    the last few tokens are added in their order, so the result does not depend on the guess.
     """
     upto = np.minimum(upto.astype(np.int64), int(tokens.sum()))
     due = lambda t: np.clip(np.ceil((t[:, None] * weights[None, :] - 1) / 2), 0, tokens[None, :]).astype(np.int64)
-    low, high = np.zeros(len(upto)), np.full(len(upto), float((2 * tokens / weights).max()) + 1 if len(tokens) else 1.0)
-    for _ in range(100):
-        mid = (low + high) / 2
-        fits = due(mid).sum(axis=1) <= upto
-        low, high = np.where(fits, mid, low), np.where(fits, high, mid)
-    have = due(low)
+    slack, total = len(tokens) + 1, float(weights.sum())
+    low = np.maximum(2.0 * (upto - slack) / total, 0.0)
+    far = upto - due(low).sum(axis=1) > 3 * slack
+    if far.any():
+        some = upto[far]
+        a, b = low[far], np.full(len(some), float((2 * tokens / weights).max()) + 1)
+        for _ in range(100):
+            mid = (a + b) / 2
+            fits = due(mid).sum(axis=1) <= some
+            a, b = np.where(fits, mid, a), np.where(fits, b, mid)
+        low[far] = a
+    have = np.maximum(due(low) - 1, 0)  # one less: rounding may have counted a token that is due just then
     left = upto - have.sum(axis=1)
-    while (left > 0).any():
-        wait = np.where(have < tokens[None, :], (2 * have + 1) / weights[None, :], np.inf)
-        rows = np.flatnonzero(left > 0)
-        have[rows, wait[rows].argmin(axis=1)] += 1
+    wait = np.where(have < tokens, (2 * have + 1) / weights, np.inf)
+    rows = np.flatnonzero(left > 0)
+    while len(rows):
+        q = wait[rows].argmin(axis=1)
+        have[rows, q] += 1
+        now = have[rows, q]
+        wait[rows, q] = np.where(now < tokens[q], (2 * now + 1) / weights[q], np.inf)
         left[rows] -= 1
+        rows = rows[left[rows] > 0]
     return have
 
 
@@ -143,26 +155,20 @@ _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 
 def _windows(lo: np.ndarray, hi: np.ndarray, length: int, weights: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sequences that hold tokens ``lo`` … ``hi`` - 1 of the queues, with the queues' counts before each (one more at the end).
-
-    A queue's share of the first R tokens is steady, so the wanted ones are searched by bisection.
-    """
-
-    def sequence(q: int, x: int) -> int:
-        a, b = 0, int(-(-tokens.sum() // length))
-        while b - a > 1:
-            mid = (a + b) // 2
-            if emitted(np.array([mid * length]), weights, tokens)[0, q] <= x:
-                a = mid
-            else:
-                b = mid
-        return a
-
-    wanted: set[int] = set()
-    for q in np.flatnonzero(hi > lo):
-        wanted.update(range(sequence(q, int(lo[q])), sequence(q, int(hi[q]) - 1) + 1))
-    ids = np.array(sorted(wanted), dtype=np.int64)
-    return ids, emitted(np.concatenate([ids, ids + 1]) * length, weights, tokens)
+    """Sequences that hold tokens ``lo`` … ``hi`` - 1 of the queues (and their neighbours), with the queues' counts before
+    each, and after each."""
+    last = int(-(-tokens.sum() // length)) - 1
+    own = np.flatnonzero(hi > lo)
+
+    def rank(x: np.ndarray) -> np.ndarray:
+        """About how many tokens come before token ``x`` of each of these queues."""
+        t = (2 * x + 1) / weights[own]
+        return np.clip(np.ceil((t[:, None] * weights[None, :] - 1) / 2), 0, tokens[None, :]).sum(axis=1).astype(np.int64)
+
+    first, final = rank(lo[own]) // length - 1, rank(hi[own] - 1) // length + 1
+    ids = np.unique(np.concatenate([np.arange(max(a, 0), min(b, last) + 1) for a, b in zip(first.tolist(), final.tolist(), strict=True)]))
+    edges, place = np.unique(np.concatenate([ids, ids + 1]), return_inverse=True)
+    return ids, emitted(edges * length, weights, tokens)[place]
 
 
 def _cut(names: list[str], weights: list[float], tokens: list[int], length: int, with_ids: bool):
