@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hourlake.llm.common import keyed, longs, record, text_bytes
+from hourlake.llm.common import keyed, larger, longs, record, text_bytes
 from hourlake.llm.rolling import byte_values, grams, pieces, prefix, ranges, word_hashes, words
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letters", "n_digits")
@@ -146,8 +146,10 @@ def measure(docs: DataFrame, rest: bool = False) -> DataFrame:
     ddl = "doc_id long, " + ", ".join(f"{m} long" for m in MEASURES)
     if "_rest" in base.columns:
         ddl += f", text binary, _rest {base.schema['_rest'].dataType.simpleString()}"
-        return base.select("doc_id", "text", "_rest").mapInArrow(_measured, ddl)
-    return base.select("doc_id", "text").mapInArrow(_measured, ddl)
+        base = base.select("doc_id", "text", "_rest")
+    else:
+        base = base.select("doc_id", "text")
+    return base.mapInArrow(lambda batches: larger(_measured(batches), 2048), ddl)
 
 
 def failure_bits() -> Column:

@@ -21,8 +21,8 @@ _BYTE = np.random.Generator(np.random.PCG64(20240115)).integers(1, 1 << 63, 256,
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 
-#: Bytes that are worked on at once; a longer document is one piece of its own.
-PIECE_BYTES = 1 << 20
+#: Bytes that are worked on at once, so that arrays stay in a core's cache; a longer document is one piece of its own.
+PIECE_BYTES = 1 << 16
 
 
 def mix(h: np.ndarray) -> np.ndarray:
