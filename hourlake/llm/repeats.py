@@ -7,11 +7,13 @@ windows mostly share an anchor; such a run of windows with the values they cover
 1. Anchors of all documents are counted (map-side first); an anchor seen only once can't belong to a repeat.
 2. Documents with shared anchors emit their snippets, which are dealt to tasks by anchor. Tasks take them in
    order of anchor and cut that stream into shards of bounded size, which the two operators search.
-3. Anchors with more than ``hot`` snippets (a line in a third of all documents) don't go to one task: their
-   equal snippets are collapsed, the rest is cut into single windows, and these are aggregated. This
-   is exact too and bounded for any group.
+3. Snippets of anchors with more than ``hot`` of them (a line in a third of all documents) don't go to one task as
+   they are: equal ones are collapsed first. If more than ``hot`` different ones are left, they are cut
+   into single windows, and these are aggregated. All of this is exact and bounded for any group.
 
-The result is ranges of repeated windows per document. Texts cross the network once, dealt by row.
+The result is ranges of repeated windows per document. Texts cross the network once, dealt by row and compressed. Keys
+that are only there to bring rows together are cut to as many bits as keep chance meetings rare at any size
+(a chance meeting costs some work, never a wrong result: ids and texts are compared).
 """
 
 from __future__ import annotations
@@ -22,13 +24,17 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from hourlake.llm.common import keyed, longs, record, signed, text_bytes, unsigned
+from hourlake.llm.common import larger, longs, record, signed, text_bytes, unsigned
 from hourlake.llm.rolling import U64, byte_values, grams, mix, pieces, prefix, runs, sliding_min, word_hashes, words
 
-#: Snippets of one anchor that a single task takes.
-HOT = 512
+#: Bits of anchors and of rows' keys.
+ANCHOR = (1 << 48) - 1
+ROW_KEY = (1 << 40) - 1
+#: Snippets of one anchor that a single task takes (a few megabytes at most).
+HOT = 8192
 
 
 @dataclass(frozen=True)
@@ -93,7 +99,7 @@ def find_runs(data: np.ndarray, off: np.ndarray, unit: Unit) -> Runs:
     last = window[z - 1] + unit.size
     return Runs(
         doc,
-        anchor[a],
+        anchor[a] & U64(ANCHOR),
         window[a] - base,
         window[z - 1] + 1 - base,
         1 + (moved[z - 1] > moved[a]),
@@ -102,6 +108,29 @@ def find_runs(data: np.ndarray, off: np.ndarray, unit: Unit) -> Runs:
     )
 
 
+# ---------------------------------------------------------------- documents
+
+
+def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pack = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        at = batch.schema.get_field_index("text")
+        texts = pa.array([pack(t or b"") for t in batch.column(at).to_pylist()], pa.binary())
+        yield batch.set_column(at, "text", texts)
+
+
+def compact(docs: DataFrame) -> DataFrame:
+    """``keyed`` documents with shorter row keys and compressed texts, as they are shuffled."""
+    short = docs.withColumn("_row", F.col("_row").bitwiseAND(F.lit(ROW_KEY)))
+    return short.mapInArrow(_compressed, short.schema)
+
+
+def texts_of(batch: pa.RecordBatch) -> list[bytes]:
+    """The texts of ``compact`` documents."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    return [unpack(t) for t in batch.column("text").to_pylist()]
+
+
 # ---------------------------------------------------------------- anchors
 
 
@@ -124,7 +153,7 @@ def _anchors(unit: Unit):
                 times = np.add.reduceat(r.times[order], at)
                 yield record(schema, longs(marks[i + doc[at]]), longs(ids[i + doc[at]]), signed(anchor[at]), longs(times))
 
-    return rows
+    return lambda batches: larger(rows(batches))
 
 
 def shared_anchors(docs: DataFrame, unit: Unit, between_ids: bool, hot: int) -> DataFrame:
@@ -132,7 +161,7 @@ def shared_anchors(docs: DataFrame, unit: Unit, between_ids: bool, hot: int) ->
 
     ``between_ids``: only repeats between documents with different ids count.
     """
-    each = docs.select("_id", "_row", "text").mapInArrow(_anchors(unit), "_row long, _id long, anchor long, n long")
+    each = docs.select("_id", F.col("_row").bitwiseAND(F.lit(ROW_KEY)).alias("_row"), "text").mapInArrow(_anchors(unit), "_row long, _id long, anchor long, n long")
     if between_ids:
         known = each.groupBy("anchor").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo < hi")
     else:
@@ -155,23 +184,26 @@ def _snippets(unit: Unit, wanted: str):
         for batch in batches:
             ids, marks = batch.column("_id").to_numpy(), batch.column("_row").to_numpy()
             lists = batch.column(wanted)
-            sizes = np.diff(lists.offsets.to_numpy())
-            pair = _pair(np.repeat(np.arange(len(sizes)), sizes), unsigned(lists.flatten()))
-            data, off = text_bytes(batch)
+            ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            pair = _pair(np.repeat(np.arange(len(ids)), np.diff(ends)), unsigned(lists.flatten()))
+            texts = texts_of(batch)
+            data, off = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
             for i, j in pieces(off):
+                if ends[i] == ends[j]:
+                    continue
                 part = data[off[i] : off[j]]
                 r = find_runs(part, off[i : j + 1] - off[i], unit)
-                keep = np.flatnonzero(np.isin(_pair(r.doc + i, r.anchor), pair))
+                keep = np.flatnonzero(np.isin(_pair(r.doc + i, r.anchor), pair[ends[i] : ends[j]]))
                 if not len(keep):
                     continue
                 raw = part.tobytes()
-                texts = [raw[a:b] for a, b in zip(r.first[keep].tolist(), r.end[keep].tolist(), strict=True)]
+                found = [raw[a:b] for a, b in zip(r.first[keep].tolist(), r.end[keep].tolist(), strict=True)]
                 if unit.words:
-                    texts = [b" ".join(t.split()) for t in texts]
+                    found = [b" ".join(t.split()) for t in found]
                 doc = r.doc[keep] + i
-                yield record(_SNIPPET, longs(marks[doc]), longs(ids[doc]), signed(r.anchor[keep]), longs(r.lo[keep]), longs(r.hi[keep] - r.lo[keep]), pa.array(texts, pa.binary()))
+                yield record(_SNIPPET, longs(marks[doc]), longs(ids[doc]), signed(r.anchor[keep]), longs(r.lo[keep]), longs(r.hi[keep] - r.lo[keep]), pa.array(found, pa.binary()))
 
-    return rows
+    return lambda batches: larger(rows(batches))
 
 
 def _pair(doc: np.ndarray, anchor: np.ndarray) -> np.ndarray:
@@ -205,19 +237,18 @@ class Flags:
 
 
 def _windows_of(unit: Unit):
-    schema = pa.schema([("anchor", pa.int64()), ("content", pa.binary()), ("at", pa.int64()), ("w", pa.binary()), ("n", pa.int64()), ("least", pa.int64())])
+    schema = pa.schema([("key", pa.int64()), ("at", pa.int64()), ("w", pa.binary()), ("n", pa.int64()), ("least", pa.int64())])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for anchor, text, n, least in zip(*[batch.column(i).to_pylist() for i in range(4)], strict=True):
-                content = xxhash.xxh3_128_digest(text)
+            for key, text, n, least in zip(*[batch.column(i).to_pylist() for i in range(4)], strict=True):
                 if unit.words:
                     parts = text.split(b" ")
                     each = [b" ".join(parts[i : i + unit.size]) for i in range(len(parts) - unit.size + 1)]
                 else:
                     each = [text[i : i + unit.size] for i in range(len(text) - unit.size + 1)]
-                out.extend((anchor, content, i, xxhash.xxh3_128_digest(w), n, least) for i, w in enumerate(each))
+                out.extend((key, i, xxhash.xxh3_128_digest(w), n, least) for i, w in enumerate(each))
                 if len(out) > 1 << 16:
                     yield record(schema, *[pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)])
                     out = []
@@ -227,44 +258,47 @@ def _windows_of(unit: Unit):
     return rows
 
 
-def _content(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        digest = [xxhash.xxh3_128_digest(t) for t in batch.column("snippet").to_pylist()]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(digest, pa.binary())], names=[*_SNIPPET.names[:5], "content"])
-
-
-def _hot_flags(snippets: DataFrame, unit: Unit, between_ids: bool) -> DataFrame:
-    """Repeated windows of hot anchors: collapse equal snippets, cut the rest into windows, aggregate these."""
-    distinct = snippets.groupBy("anchor", "snippet").agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("least"))
-    each = distinct.mapInArrow(_windows_of(unit), "anchor long, content binary, at long, w binary, n long, least long")
-    known = each.groupBy("w").agg(F.sum("n").alias("n"), F.min("least").alias("least"))
-    if not between_ids:
-        known = known.where("n > 1")
-    back = each.select("anchor", "content", "at", "w").join(known, "w").groupBy("anchor", "content")
-    back = back.agg(F.collect_list(F.struct("at", "least")).alias("found"))
-    own = snippets.mapInArrow(_content, "_row long, _id long, anchor long, lo long, windows long, content binary")
-    flagged = own.join(back, ["anchor", "content"]).select("_row", "_id", "lo", F.explode("found").alias("f"))
-    if between_ids:
-        flagged = flagged.where("f.least < _id")
-    return flagged.select("_row", "_id", (F.col("lo") + F.col("f.at")).alias("a"), (F.col("lo") + F.col("f.at") + 1).alias("b"))
+def _hot_flags(snippets: DataFrame, unit: Unit, between_ids: bool, search: Callable, hot: int) -> DataFrame:
+    """Repeated windows of hot anchors, from one row for each different snippet."""
+    keyed_ = snippets.withColumn("key", F.xxhash64("anchor", "snippet"))
+    distinct = keyed_.groupBy("anchor", "snippet", "windows", "key").agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("least"))
+    many = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("different")).where(F.col("different") > hot).select("anchor")
+    # a group that fits a task after all: searched like any other, in the name of each snippet's least id
+    few = distinct.join(many, "anchor", "left_anti")
+    few = few.select(F.col("key").alias("_row"), F.col("least").alias("_id"), "anchor", F.lit(0).cast("long").alias("lo"), "windows", "snippet")
+    found = few.repartition("anchor").sortWithinPartitions("anchor", "_id").mapInArrow(search, FLAGS)
+    found = found.select(F.col("_row").alias("key"), "a", "b")
+    # the others by window
+    each = distinct.join(many, "anchor", "left_semi").select("key", "snippet", "n", "least")
+    each = each.mapInArrow(_windows_of(unit), "key long, at long, w binary, n long, least long")
+    known = each.groupBy("w").agg(F.sum("n").alias("all"), F.min("least").alias("first"))
+    again = F.col("first") < F.col("least") if between_ids else F.col("all") > 1
+    found = found.union(each.join(known, "w").where(again).select("key", F.col("at").alias("a"), (F.col("at") + 1).alias("b")))
+    ranges = found.groupBy("key").agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
+    # back to the rows: copies of a snippet repeat all of it, the first (or only) one has what was found
+    copy = F.col("_id") > F.col("least") if between_ids else F.col("n") > 1
+    own = keyed_.select("_row", "_id", "lo", "windows", "key").join(distinct.select("key", "n", "least"), "key").join(ranges, "key", "left")
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("windows").alias("b")))
+    parts = F.explode(F.when(copy, whole).otherwise(F.col("ranges"))).alias("r")
+    return own.select("_row", "_id", "lo", parts).select("_row", "_id", (F.col("lo") + F.col("r.a")).alias("a"), (F.col("lo") + F.col("r.b")).alias("b"))
 
 
 # ---------------------------------------------------------------- all together
 
 
-def repeated_windows(docs: DataFrame, unit: Unit, between_ids: bool, search: Callable, hot: int = HOT) -> DataFrame:
-    """``FLAGS`` rows for ``keyed`` documents. ``search`` maps batches of snippets, sorted by anchor and id, to such rows."""
+def repeated_windows(docs: DataFrame, packed: DataFrame, unit: Unit, between_ids: bool, search: Callable, hot: int = HOT) -> DataFrame:
+    """``FLAGS`` rows for ``keyed`` documents and the same as ``compact`` ones. ``search`` maps batches of snippets, sorted by anchor and id, to such rows."""
     by_row = shared_anchors(docs, unit, between_ids, hot)
-    linked = docs.join(by_row, "_row")
+    linked = packed.join(by_row, "_row")
     cold = linked.where(F.size("anchors") > 0).mapInArrow(_snippets(unit, "anchors"), SNIPPET)
     cold = cold.repartition("anchor").sortWithinPartitions("anchor", "_id").mapInArrow(search, FLAGS)
     warm = linked.where(F.size("hot") > 0).mapInArrow(_snippets(unit, "hot"), SNIPPET)
-    return cold.union(_hot_flags(warm, unit, between_ids))
+    return cold.union(_hot_flags(warm, unit, between_ids, search, hot))
 
 
-def with_ranges(docs: DataFrame, flags: DataFrame) -> DataFrame:
-    """``keyed`` documents with ``ranges``, the ranges of repeated windows (those of other ids with an equal row hash included)."""
-    return docs.join(flags.groupBy("_row").agg(F.collect_list(F.struct("_id", "a", "b")).alias("ranges")), "_row", "left")
+def with_ranges(packed: DataFrame, flags: DataFrame) -> DataFrame:
+    """``compact`` documents with ``ranges``, the ranges of repeated windows (those of other ids with an equal row hash included)."""
+    return packed.join(flags.groupBy("_row").agg(F.collect_list(F.struct("_id", "a", "b")).alias("ranges")), "_row", "left")
 
 
 def covered(ranges: list[dict] | None, doc_id: int, size: int, n: int) -> list[tuple[int, int]]:

@@ -19,8 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from hourlake.llm.common import keyed, like_documents, longs, text_list
-from hourlake.llm.repeats import HOT, WORDS, Flags, Unit, covered, repeated_windows, with_ranges
+from hourlake.llm.common import keyed, like_documents, longs
+from hourlake.llm.repeats import HOT, WORDS, Flags, Unit, compact, covered, repeated_windows, texts_of, with_ranges
 
 #: States of an automaton after which a new one is begun, at the next anchor.
 STATES = 60_000
@@ -114,7 +114,7 @@ def _cut(unit: Unit, with_text: bool, with_rest: bool):
         for batch in batches:
             n_words, n_removed, sha, texts = [], [], [], []
             ids, ranges = batch.column("_id").to_pylist(), batch.column("ranges").to_pylist()
-            for doc_id, text, found in zip(ids, text_list(batch), ranges, strict=True):
+            for doc_id, text, found in zip(ids, texts_of(batch), ranges, strict=True):
                 words = text.split()
                 n = len(words)
                 for a, b in reversed(covered(found, doc_id, unit.size, n)):
@@ -136,9 +136,9 @@ def _cut(unit: Unit, with_text: bool, with_rest: bool):
 
 def _deduped(docs: DataFrame, size: int, text: bool, rest: bool, hot: int, states: int) -> DataFrame:
     unit = Unit(words=True, size=size, gram=min(WORDS.gram, size), longest=max(WORDS.longest, size))
-    base = keyed(docs)
-    flags = repeated_windows(base, unit, between_ids=True, search=_search(size, states), hot=hot)
-    joined = with_ranges(keyed(docs, rest), flags)
+    packed = compact(keyed(docs, rest))  # one shuffle of it serves both the search and the cut
+    flags = repeated_windows(keyed(docs), packed, unit, between_ids=True, search=_search(size, states), hot=hot)
+    joined = with_ranges(packed, flags)
     with_rest = "_rest" in joined.columns
     ddl = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", text binary" * text
     if with_rest:

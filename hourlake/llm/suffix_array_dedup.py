@@ -20,11 +20,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from hourlake.llm.common import keyed, like_documents, longs, text_list
-from hourlake.llm.repeats import BYTES, HOT, Flags, Unit, covered, repeated_windows, with_ranges
+from hourlake.llm.common import keyed, like_documents, longs
+from hourlake.llm.repeats import BYTES, HOT, Flags, Unit, compact, covered, repeated_windows, texts_of, with_ranges
 
 #: Bytes of snippets whose suffixes are sorted together.
-SHARD = 1 << 21
+SHARD = 1 << 20
 
 
 def eight_bytes(text: np.ndarray) -> np.ndarray:
@@ -79,35 +79,31 @@ def common_prefixes(head: np.ndarray, before: np.ndarray, start: np.ndarray, cou
     Stretch k has the places ``start[k]`` … ``start[k] + count[k] - 1``; all stretches step on together. If the neighbour
     steps on too, just one byte of the common prefix is lost and the comparison goes on from there. Otherwise it
     begins anew: the rule's bound for that case needs all suffixes in full order, and here only windows are, up to a depth.
+    Bytes are compared eight at a time, so what is below ``cap`` may be up to seven bytes short; ``cap`` itself is exact.
     """
     out = np.zeros(len(head), dtype=np.int32)
     lanes = np.argsort(-count, kind="stable")
     start, count = start[lanes].astype(np.int64), count[lanes]
     have = np.zeros(len(start), dtype=np.int64)
     last = np.full(len(start), -2, dtype=np.int64)
-    limit = len(head)
+    width = min(8, cap)
+    rest = np.uint64(64 - 8 * width)
     for t in range(int(count[0]) if len(count) else 0):
         m = int(np.searchsorted(-count, -t, side="left"))  # stretches longer than t
         here, there = start[:m] + t, before[start[:m] + t].astype(np.int64)
         h = np.where(there == last[:m] + 1, np.maximum(have[:m] - 1, 0), 0)
         todo = np.flatnonzero(there >= 0)
         while len(todo):
-            i, j = here[todo] + h[todo], there[todo] + h[todo]
-            inside = (i < limit) & (j < limit)
-            differ = np.where(inside, head[np.minimum(i, limit - 1)] ^ head[np.minimum(j, limit - 1)], np.uint64(1 << 63))
-            same = _equal_bytes(differ)
-            h[todo] += same
-            todo = todo[(same == 8) & (h[todo] < cap)]
+            at = np.minimum(h[todo], cap - width)  # windows have ``cap`` bytes, so this stays inside them
+            same = (head[here[todo] + at] ^ head[there[todo] + at]) >> rest == 0
+            todo, at = todo[same], at[same] + width
+            h[todo] = at
+            todo = todo[at < cap]
         have[:m], last[:m] = h, np.where(there >= 0, there, -2)
-        out[here] = np.minimum(h, cap)
+        out[here] = h
     return out
 
 
-def _equal_bytes(differ: np.ndarray) -> np.ndarray:
-    """How many leading bytes of eight are zero."""
-    return (differ[:, None] < (np.uint64(1) << np.arange(56, -1, -8, dtype=np.uint64))[None, :]).sum(axis=1)
-
-
 @dataclass
 class Snippet:
     """A distinct snippet: its rows (row, id, first window) and which of its windows are repeated."""
@@ -119,8 +115,8 @@ class Snippet:
     flags: np.ndarray | None = None
 
 
-def search_shard(snippets: list[Snippet], size: int) -> np.ndarray:
-    """Sets the flags of a shard's snippets. Returns the windows, as (snippet, place in it), in suffix order."""
+def search_shard(snippets: list[Snippet], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sets the flags of a shard's snippets. Returns where its windows begin, in suffix order, and where snippets do."""
     text = np.frombuffer(b"".join(s.text for s in snippets), dtype=np.uint8)
     lengths = np.array([len(s.text) for s in snippets])
     start = np.cumsum(lengths) - lengths
@@ -138,12 +134,14 @@ def search_shard(snippets: list[Snippet], size: int) -> np.ndarray:
     repeated[before[order][full[order]]] = True
     for k, s in enumerate(snippets):
         s.flags = repeated[start[k] : start[k] + count[k]] if len(s.rows) < 2 else np.ones(count[k], dtype=bool)
-    owner = np.searchsorted(start, order, side="right") - 1
-    return np.stack([owner, order - start[owner]], axis=1)
+    return order, start
 
 
-def merge_by_binary_search(old: list[Snippet], new: list[Snippet], size: int, order: np.ndarray) -> None:
-    """Flags windows of an anchor that are in both an earlier shard and a later one (sorted: ``order``)."""
+def merge_by_binary_search(old: list[Snippet], new: list[Snippet], size: int, order: np.ndarray, start: np.ndarray) -> None:
+    """Flags windows of an anchor that are in both an earlier shard and a later one, whose sorted windows are searched."""
+    owner = np.searchsorted(start, order, side="right") - 1
+    order = np.stack([owner, order - start[owner]], axis=1)
+    order = order[np.array([s.anchor == old[0].anchor for s in new])[owner]]
     width = f"S{size}"
     mine = np.array([new[k].text[i : i + size] for k, i in order.tolist()], dtype=width)
     for s in old:
@@ -170,10 +168,9 @@ def _search(size: int, shard: int):
             """Search the shard; write all but the snippets of ``anchor``, which goes on."""
             nonlocal held, now, room
             if now:
-                order = search_shard(now, size)
+                order, start = search_shard(now, size)
                 if held:
-                    again = np.array([s.anchor == held[0].anchor for s in now])
-                    merge_by_binary_search(held, now, size, order[again[order[:, 0]]])
+                    merge_by_binary_search(held, now, size, order, start)
             ready = held + now
             held = [s for s in ready if s.anchor == anchor]
             now, room = [], 0
@@ -211,7 +208,7 @@ def _cut(unit: Unit, with_text: bool, with_rest: bool):
         for batch in batches:
             n_bytes, n_removed, n_spans, sha, texts, spans = [], [], [], [], [], []
             ids, ranges = batch.column("_id").to_pylist(), batch.column("ranges").to_pylist()
-            for doc_id, text, found in zip(ids, text_list(batch), ranges, strict=True):
+            for doc_id, text, found in zip(ids, texts_of(batch), ranges, strict=True):
                 gone = covered(found, doc_id, unit.size, len(text))
                 kept = text
                 if gone:
@@ -236,9 +233,9 @@ def _cut(unit: Unit, with_text: bool, with_rest: bool):
 
 def _deduped(docs: DataFrame, size: int, text: bool, rest: bool, hot: int, shard: int) -> DataFrame:
     unit = Unit(words=False, size=size, gram=max(1, size // 4), longest=max(size, BYTES.longest))
-    base = keyed(docs)
-    flags = repeated_windows(base, unit, between_ids=False, search=_search(size, shard), hot=hot)
-    joined = with_ranges(keyed(docs, rest), flags)
+    packed = compact(keyed(docs, rest))  # one shuffle of it serves both the search and the cut
+    flags = repeated_windows(keyed(docs), packed, unit, between_ids=False, search=_search(size, shard), hot=hot)
+    joined = with_ranges(packed, flags)
     with_rest = "_rest" in joined.columns
     ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     ddl += ", text binary, spans array<struct<start: long, end: long>>" * text

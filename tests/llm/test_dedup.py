@@ -80,7 +80,7 @@ def got(df, *cols):
     return sorted((tuple(r) for r in df.select("doc_id", *cols).collect()), key=repr)
 
 
-@pytest.mark.parametrize("size, hot, shard", [(20, 512, 1 << 20), (12, 2, 1 << 20), (12, 512, 300), (9, 10_000, 60)])
+@pytest.mark.parametrize("size, hot, shard", [(20, 512, 1 << 20), (12, 2, 1 << 20), (12, 4, 1 << 20), (12, 512, 300), (9, 10_000, 60)])
 def test_suffix_arrays_equal_brute_force(spark, size, hot, shard):
     texts = corpus(1, 60)
     df = suffix_array_dedup.suffix_array_dedup(frame(spark, texts), size=size, hot=hot, shard=shard)
@@ -90,7 +90,7 @@ def test_suffix_arrays_equal_brute_force(spark, size, hot, shard):
     assert row["text"] == b"" and [tuple(s) for s in row["spans"]] == [(0, 90)]
 
 
-@pytest.mark.parametrize("size, hot, states", [(13, 512, 60_000), (5, 2, 60_000), (5, 512, 10), (2, 10_000, 10)])
+@pytest.mark.parametrize("size, hot, states", [(13, 512, 60_000), (5, 2, 60_000), (5, 5, 60_000), (5, 512, 10), (2, 10_000, 10)])
 def test_automata_equal_brute_force(spark, size, hot, states):
     texts = corpus(2, 80)
     df = substring_dedup.substring_dedup(frame(spark, texts), size=size, hot=hot, states=states)
@@ -156,9 +156,10 @@ def test_kasai_prefixes():
     rng = np.random.default_rng(4)
     text = rng.integers(97, 99, 400).astype(np.uint8)
     raw = text.tobytes() + b"\0" * 64
-    before = np.concatenate([[-1], rng.permutation(399)]).astype(np.int32)
+    before = rng.integers(-1, 380, 400).astype(np.int32)
     start, count = np.array([0, 100, 250]), np.array([60, 100, 90])
     order = suffix_array_dedup.suffix_array(text, 400)
+    order = order[order <= 380]  # windows of 20 bytes
     phi = np.full(400, -1, dtype=np.int32)
     phi[order[1:]] = order[:-1]
     for neighbours in (before, phi):
@@ -168,8 +169,8 @@ def test_kasai_prefixes():
                 j, h = int(neighbours[i]), 0
                 while j >= 0 and h < 20 and max(i, j) + h < 400 and raw[i + h] == raw[j + h]:
                     h += 1
-                if max(i, j) + 20 < 400:
-                    assert out[i] == h
+                if j >= 0:
+                    assert h - 8 < out[i] <= h and (out[i] == 20) == (h == 20)
 
 
 def test_automaton_matching_statistics():
