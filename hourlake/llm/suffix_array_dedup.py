@@ -137,23 +137,39 @@ def search_shard(snippets: list[Snippet], size: int) -> tuple[np.ndarray, np.nda
     return order, start
 
 
+def _windows_of(snippets: list[Snippet], size: int) -> np.ndarray:
+    """All windows of the snippets, one after the other, as fixed-width strings."""
+    rows = [np.lib.stride_tricks.sliding_window_view(np.frombuffer(s.text, np.uint8), size) for s in snippets]
+    return np.ascontiguousarray(np.concatenate(rows)).view(f"S{size}").ravel()
+
+
 def merge_by_binary_search(old: list[Snippet], new: list[Snippet], size: int, order: np.ndarray, start: np.ndarray) -> None:
-    """Flags windows of an anchor that are in both an earlier shard and a later one, whose sorted windows are searched."""
+    """Flags windows of an anchor that are in both an earlier shard and a later one, whose sorted windows are searched.
+
+    Equal windows are neighbours in the later shard, so a search for their first and last place finds all of them.
+    """
     owner = np.searchsorted(start, order, side="right") - 1
-    order = np.stack([owner, order - start[owner]], axis=1)
-    order = order[np.array([s.anchor == old[0].anchor for s in new])[owner]]
-    width = f"S{size}"
-    mine = np.array([new[k].text[i : i + size] for k, i in order.tolist()], dtype=width)
-    for s in old:
-        theirs = np.array([s.text[i : i + size] for i in range(s.windows)], dtype=width)
-        at = np.searchsorted(mine, theirs)
-        hit = (at < len(mine)) & (mine[np.minimum(at, len(mine) - 1)] == theirs)
-        s.flags = s.flags | hit
-        for i in np.flatnonzero(hit):
-            last = np.searchsorted(mine, theirs[i], side="right")
-            for k, p in order[at[i] : last].tolist():
-                new[k].flags = new[k].flags.copy()
-                new[k].flags[p] = True
+    mine_too = np.array([s.anchor == old[0].anchor for s in new])[owner]
+    order, owner = order[mine_too], owner[mine_too]
+    if not len(order):
+        return
+    text = np.frombuffer(b"".join(s.text for s in new), np.uint8)
+    sorted_ = np.lib.stride_tricks.sliding_window_view(text, size)[order].view(f"S{size}").ravel()
+    met = np.zeros(len(order) + 1, dtype=np.int64)
+    for k in range(0, len(old), 64):
+        some = old[k : k + 64]
+        asked = _windows_of(some, size)
+        first, last = np.searchsorted(sorted_, asked, side="left"), np.searchsorted(sorted_, asked, side="right")
+        hit = last > first
+        np.add.at(met, first[hit], 1)
+        np.add.at(met, last[hit], -1)
+        for s, flags in zip(some, np.split(hit, np.cumsum([s.windows for s in some])[:-1]), strict=True):
+            s.flags = s.flags | flags
+    found = np.flatnonzero(np.cumsum(met[:-1]) > 0)
+    flagged = np.zeros(len(text), dtype=bool)
+    flagged[order[found]] = True
+    for k in np.unique(owner[found]):
+        new[k].flags = new[k].flags | flagged[start[k] : start[k] + new[k].windows]
 
 
 def _search(size: int, shard: int):
