@@ -57,10 +57,10 @@ def unexpected_values(df: DataFrame, col: str, values: Sequence) -> DataFrame:
 def orphans(child: DataFrame, col: str, parent: DataFrame, field: str) -> DataFrame:
     """Non-NULL child values without a parent row, with their row counts.
 
-    Child keys are counted first, so the anti join sees every key once however often it occurs.
+    Both sides are reduced to distinct keys first, so no key is heavy on either side of the join.
     """
     keys = child.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count("*").alias("n_records"))
-    return keys.join(parent.select(F.col(field).alias(col)), col, "left_anti")
+    return keys.join(parent.select(F.col(field).alias(col)).distinct(), col, "left_anti")
 
 
 # -- declarations -------------------------------------------------------------------------------

@@ -109,13 +109,14 @@ def schema_by_type(lines: DataFrame) -> DataFrame:
     return doc.groupBy("type").agg(F.schema_of_variant_agg("_v").alias("schema"))
 
 
-def _leaf_lister(max_depth: int):
+def _leaf_lister(max_depth: int | None):
     """Batch function ``(type, schema) -> (type, path, data_type)``; self-contained for workers."""
     token = re.compile(
         r"OBJECT<|ARRAY<|>|,\s*|`((?:[^`]|``)*)`:\s*|([^<>,:`\s]+):\s*|([^<>,:`]+(?:\(\d+,\s*\d+\))?)"
     )
 
     def leaves(schema: str) -> Iterator[tuple[str, str]]:
+        # Depth is counted in nested objects, not in dots: a key may contain some.
         parents, name = [""], ""
         for m in token.finditer(schema):
             text, quoted, plain, leaf = m.group(0, 1, 2, 3)
@@ -129,7 +130,7 @@ def _leaf_lister(max_depth: int):
                 parents.append(f"{path}[]")
             elif text == ">":
                 parents.pop()
-            elif leaf is not None and path.count(".") <= max_depth:
+            elif leaf is not None and (max_depth is None or len(parents) - 1 <= max_depth):
                 yield path, leaf.strip()
             name = ""
 
@@ -141,8 +142,8 @@ def _leaf_lister(max_depth: int):
     return expand
 
 
-def schema_tree(lines: DataFrame, max_depth: int = 6) -> DataFrame:
-    """``type, path, data_type`` for every leaf seen in lines of that type."""
+def schema_tree(lines: DataFrame, max_depth: int | None = None) -> DataFrame:
+    """``type, path, data_type`` for every leaf seen in lines of that type, down to ``max_depth`` objects if given."""
 
     # One short schema text per event type goes to Python, not the lines.
     return schema_by_type(lines).mapInPandas(_leaf_lister(max_depth), "type string, path string, data_type string")

@@ -8,9 +8,9 @@ of the data. Two remedies, both exact:
 * *spans* for ordered windows: a heavy key is cut into time ranges holding about equally many rows;
   what an earlier (later) range would contribute to the window is carried over as one row per range.
 
-What reaches the driver is bounded by ``MAX_KEYS`` (the heaviest keys; every other key then holds
-less than ``1/MAX_KEYS`` of the rows) and by the number of cuts, about ``2 * MAX_KEYS`` in total.
-Nothing is dropped: keys beyond the bound simply take the ordinary path.
+Heavy keys and their cuts stay in tables; only whether there is any, and the size of the largest,
+reach the driver. There are at most ``rows / heavy_rows`` of them and about as many cuts, and every
+one of them is split: what is left in one task is about ``heavy_rows`` rows whatever the input.
 """
 
 from __future__ import annotations
@@ -19,36 +19,29 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql import types as T
 
 from hourlake.functions.time import micros
+from hourlake.sources.scratch import written
 
 #: A key with fewer rows than this fits one task and is never split.
 HEAVY_ROWS = 5_000_000
-MAX_KEYS = 1_000
-#: Finest split of one key.
-MAX_PIECES = 512
+#: Groups over which rows without a key are spread.
+NULL_PIECES = 512
+#: Relative precision of the quantile sketch: cuts finer than this can't be told apart.
+RESOLUTION = 1 << 16
 
 
-def size_estimate(df: DataFrame) -> int:
-    """Spark's own estimate of the size of ``df`` in bytes (what it decides broadcasts by)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def heavy_keys(df: DataFrame, keys: Sequence[str], heavy_rows: int = HEAVY_ROWS) -> DataFrame | None:
+    """``keys`` and row count ``_n`` of every key with at least ``heavy_rows`` rows, or None.
 
-
-def heavy_keys(
-    df: DataFrame, keys: Sequence[str], heavy_rows: int = HEAVY_ROWS, max_keys: int = MAX_KEYS
-) -> DataFrame | None:
-    """``keys`` and row count ``_n`` of the at most ``max_keys`` heaviest keys, or None."""
-    if size_estimate(df) < heavy_rows:
-        # Less than a byte per row for even one such key: not worth a job.
-        return None
+    One aggregate over the key columns, counted map-side; the few heavy keys are written to scratch.
+    """
     counts = df.select(*keys).dropna().groupBy(*keys).agg(F.count("*").alias("_n"))
-    top = counts.filter(F.col("_n") >= heavy_rows).orderBy(F.desc("_n")).limit(max_keys)
-    rows = top.collect()
-    return df.sparkSession.createDataFrame(rows, top.schema) if rows else None
+    found = written(counts.filter(F.col("_n") >= heavy_rows), "heavy-keys")
+    return None if found.isEmpty() else found
 
 
-def spread_nulls(keys: Sequence[str], by: Sequence[str], pieces: int = MAX_PIECES) -> Column:
+def spread_nulls(keys: Sequence[str], by: Sequence[str], pieces: int = NULL_PIECES) -> Column:
     """0 for rows with a full key, otherwise 1..pieces: NULL keys must not meet in one task."""
     any_null = F.lit(False)
     for k in keys:
@@ -83,9 +76,8 @@ def salted_join(
         l = left.withColumn("_salt", null_piece)
         r = right.withColumn("_salt", zero(keys))
         return l.join(r, [*keys, "_salt"], how).drop("_salt")
-    pieces = F.least(F.ceil(F.col("_n") / F.lit(heavy_rows)), F.lit(MAX_PIECES)).cast("int")
-    # At most MAX_KEYS rows by construction, so copying them to every executor is safe.
-    hot = F.broadcast(heavy.select(*keys, pieces.alias("_pieces")))
+    # A written table, so Spark knows its size and copies it to all executors only if it is small.
+    hot = heavy.select(*keys, F.ceil(F.col("_n") / F.lit(heavy_rows)).cast("int").alias("_pieces"))
     l = left.join(hot, list(keys), "left").withColumn(
         "_salt",
         F.when(F.col("_pieces").isNull(), null_piece)
@@ -121,7 +113,7 @@ class Spans:
             span = first + F.pmod(F.xxhash64(*spread_ties_by), ties).cast("int")
         else:
             span = first
-        joined = df.join(F.broadcast(self.frame), list(self.keys), "left")
+        joined = df.join(self.frame, list(self.keys), "left")
         return joined.withColumn(
             "_span", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(span).cast("int")
         ).drop("_cuts")
@@ -134,11 +126,11 @@ class Spans:
     def carry(self, rows: DataFrame, value: Column, order: Column, forward: bool = True) -> DataFrame:
         """``(key…, _span, _carry)``: the last value before (or first value after) each span.
 
-        One row per span of a heavy key, so it is small enough to copy to every executor.
+        One row per span of a heavy key.
         """
         pick = F.max_by if forward else F.min_by
         per_span = (
-            rows.join(F.broadcast(self.frame.select(*self.keys)), list(self.keys), "left_semi")
+            rows.join(self.frame.select(*self.keys), list(self.keys), "left_semi")
             .groupBy(*self.keys, "_span")
             .agg(pick(value, order).alias("_v"))
         )
@@ -148,7 +140,7 @@ class Spans:
         else:
             got = F.first("_v", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))
         filled = self._grid().join(per_span, [*self.keys, "_span"], "left")
-        return F.broadcast(filled.select(*self.keys, "_span", got.alias("_carry")))
+        return filled.select(*self.keys, "_span", got.alias("_carry"))
 
 
 def find_spans(
@@ -156,25 +148,22 @@ def find_spans(
 ) -> Spans | None:
     """Cut every heavy key of ``rows`` into time ranges of about ``heavy_rows`` rows; None if none.
 
-    Cuts come from a quantile sketch (merged map-side); they only steer the split, results do not
-    depend on where they fall. They are fixed on the driver so that every use sees the same cuts.
+    Cuts come from a quantile sketch (merged map-side) as fine as the largest key needs; they only
+    steer the split, results do not depend on where they fall. They are written once, so that every
+    use sees the same cuts.
     """
     hot = heavy_keys(rows, keys, heavy_rows)
     if hot is None:
         return None
-    grid = [i / MAX_PIECES for i in range(1, MAX_PIECES)]
+    most = min(RESOLUTION, max(2, -(-hot.agg(F.max("_n")).first()[0] // heavy_rows)))
+    grid = [i / most for i in range(1, most)]
     sketched = (
         rows.select(*keys, micros(at).alias("_t"))
-        .join(F.broadcast(hot), list(keys))
+        .join(hot, list(keys))
         .groupBy(*keys)
-        .agg(F.first("_n").alias("_n"), F.percentile_approx("_t", grid, 10_000).alias("_q"))
+        .agg(F.first("_n").alias("_n"), F.percentile_approx("_t", grid, max(10_000, 4 * most)).alias("_q"))
     )
-    out = []
-    for r in sketched.collect():
-        pieces = min(MAX_PIECES, max(2, -(-r["_n"] // heavy_rows)))
-        step = MAX_PIECES / pieces
-        cuts = [r["_q"][round(i * step) - 1] for i in range(1, pieces)]
-        out.append((*[r[k] for k in keys], cuts))
-    fields = [rows.schema[k] for k in keys]
-    schema = T.StructType([*fields, T.StructField("_cuts", T.ArrayType(T.LongType()))])
-    return Spans(tuple(keys), rows.sparkSession.createDataFrame(out, schema))
+    pieces = F.least(F.greatest(F.ceil(F.col("_n") / heavy_rows), F.lit(2)), F.lit(most)).cast("int")
+    cut = lambda i: F.element_at("_q", F.greatest(F.round(i * most / pieces), F.lit(1)).cast("int"))
+    cuts = F.transform(F.sequence(F.lit(1), pieces - 1), cut)
+    return Spans(tuple(keys), written(sketched.select(*keys, cuts.alias("_cuts")), "cuts"))

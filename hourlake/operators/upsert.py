@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
-from pyspark.sql import types as T
 
 from hourlake.functions.time import ntz
-from hourlake.sources.files import path_exists, read_or_empty
+from hourlake.sources.files import read_or_empty, remove_folders
 from hourlake.sources.scratch import written
 
 
@@ -53,24 +52,32 @@ def upsert_table(
     keys: Sequence[str],
     partition: str,
     schema,
-    search_from: object | None = None,
+    before_write: Callable[[list], None] | None = None,
 ) -> list:
     """Upsert into a Parquet table partitioned by ``partition``; returns the rewritten partitions.
 
     Only partitions that receive rows, or hold the old version of an updated key, are rewritten: a
-    correction that moves a row to another partition rewrites both. ``search_from`` limits the search
-    for old versions to partitions not before it; leave it unset unless older rows cannot change.
+    correction that moves a row to another partition rewrites both. Old versions are looked for in
+    all partitions, but only between the least and the greatest updated key: files whose statistics
+    lie outside are skipped, so keys that grow with time keep the search to recent files.
+    ``before_write`` is told which partitions are about to change.
 
     Applying the same updates again changes nothing.
     """
     updates = written(updates, "upsert-in")
     target = read_or_empty(spark, path, schema)
-    searched = target if search_from is None else target.filter(F.col(partition) >= search_from)
+    searched = target
+    ends = updates.agg(*[f(k) for k in keys for f in (F.min, F.max)]).first()
+    for k, low, high in zip(keys, ends[::2], ends[1::2], strict=True):
+        if low is not None:
+            searched = searched.filter(F.col(k).between(F.lit(low), F.lit(high)))
     hit = searched.join(updates.select(*keys), list(keys), "left_semi").select(partition)
     # One value per touched partition (calendar dates here), not per row.
     touched = [r[0] for r in updates.select(partition).unionByName(hit).distinct().collect()]
     if not touched:
         return []
+    if before_write is not None:
+        before_write(touched)
     kept = target.filter(F.col(partition).isin(touched)).join(
         updates.select(*keys), list(keys), "left_anti"
     )
@@ -83,7 +90,7 @@ def replace_partitions(rows: DataFrame, path: str, partition: str, values: list)
 
     ``rows`` may be computed from the table itself: dynamic overwrite swaps the partition folders
     only after every task has finished, so a lost executor costs a recomputation and nothing else.
-    Partitions that get no row are rewritten empty, because the overwrite would leave them alone.
+    Partitions that get no row are removed, because the overwrite would leave them alone.
     """
     spark = rows.sparkSession
     by_time = [c for c in ("created_at",) if c in rows.columns]
@@ -99,8 +106,4 @@ def replace_partitions(rows: DataFrame, path: str, partition: str, values: list)
         .partitionBy(partition)
         .parquet(path)
     )
-    empty = spark.createDataFrame([], T.StructType([f for f in rows.schema if f.name != partition]))
-    for value in set(values) - set(seen.get["filled"]):
-        folder = f"{path}/{partition}={value}"
-        if path_exists(spark, folder):
-            empty.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
+    remove_folders(spark, [f"{path}/{partition}={v}" for v in set(values) - set(seen.get["filled"])])

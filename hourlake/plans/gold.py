@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hourlake.functions import date_key, elapsed_hours, surrogate_key
+from hourlake.functions.time import FAR_FUTURE, ntz
 from hourlake.operators.asof import point_in_time_join
 from hourlake.operators.dedupe import latest_value
 from hourlake.operators.pairing import first_seen, open_merge_pairs
@@ -107,6 +108,29 @@ def pr_lifecycle(
     )
 
 
+def outdated(
+    events: DataFrame,
+    fact: DataFrame,
+    old_versions: DataFrame,
+    versions: DataFrame,
+    old_opened: DataFrame,
+    opened: DataFrame,
+) -> DataFrame:
+    """``event_id`` of events whose stored fact row may refer to another repository version or opening now.
+
+    Time is cut into versions, so an event changes its version only if its old one is gone or a new one now
+    covers it. Only versions and openings that changed since are joined, never all of them.
+    """
+    gone = old_versions.join(versions, "repo_key", "left_anti").select("repo_key")
+    lost = fact.join(gone, "repo_key", "left_semi").select("event_id")
+    fresh = versions.join(old_versions, "repo_key", "left_anti").select(F.col("repo_id").alias("_repo"), "valid_from", "valid_to")
+    inside = (F.col("created_at") >= F.col("valid_from")) & (F.col("created_at") < F.coalesce("valid_to", ntz(FAR_FUTURE)))
+    covered = events.join(fresh, (F.col("repo_id") == F.col("_repo")) & inside, "left_semi").select("event_id")
+    paired = opened.join(old_opened, ["repo_id", "pr_number", "opened_at"], "left_anti").select("repo_id", "pr_number")
+    merges = events.filter(merge_rows()).join(paired, ["repo_id", "pr_number"], "left_semi").select("event_id")
+    return lost.union(covered).union(merges).distinct()
+
+
 def fact_events(
     events: DataFrame,
     dim_repo: DataFrame,

@@ -20,8 +20,8 @@ from hourlake.functions.time import iso_to_utc, ntz
 from hourlake.schemas import BRONZE, DEFAULT_EVENT_TYPES, RUN_LOG
 from hourlake.session import pin_utc
 from hourlake.sources.bronze import partition_columns, write_bronze
-from hourlake.sources.files import list_files, path_exists, read_or_empty
-from hourlake.sources.landing import hour_of_path, landing_files, read_lines
+from hourlake.sources.files import path_exists, read_or_empty, remove_folders
+from hourlake.sources.landing import hour_of_path, hour_path, read_lines
 from hourlake.sources.scratch import written
 from hourlake.sources.tables import append
 
@@ -34,8 +34,8 @@ OUTCOME = (
 
 # Only the fields bronze keeps are declared, so the JSON parser skips everything else. All leaves are
 # text: a wrongly typed optional field then costs that field, not the row.
-_LINE = """e array<struct<
-  id string, type string, created_at string,
+_LINE = """array<struct<
+  id string, type string, created_at string, z string,
   actor struct<id string, login string>,
   repo struct<id string, name string>,
   org struct<id string>,
@@ -70,15 +70,19 @@ def classify_lines(
     stamp = ingested_at if isinstance(ingested_at, Column) else ntz(ingested_at)
     extra = [c for c in lines.columns if c not in ("value", "source_file")]
 
-    # As the only element of an array, so that text before or after the object is an error too.
-    wrapped = F.concat(F.lit('{"e":['), F.col("value"), F.lit("]}"))
-    elements = F.from_json(wrapped, _LINE, _JSON_OPTIONS)["e"]
+    # As the first of two array elements, the second of which carries the line's hash: text before or after
+    # the object is an error or changes the number of elements, and a line that closes the array early
+    # hides the second one, because it can't contain its own hash.
+    seal = F.hex(F.xxhash64("value"))
+    wrapped = F.concat(F.lit("["), F.col("value"), F.lit(',{"z":"'), seal, F.lit('"}]'))
+    elements = F.from_json(wrapped, _LINE, _JSON_OPTIONS)
+    sealed = (F.size("_found") == 2) & (F.get("_found", F.lit(1))["z"] == seal)
     parsed = (
         lines.filter(~F.col("value").rlike(r"^\s*$"))
         .withColumn("_found", F.when(F.is_valid_utf8("value"), elements))
         # Through a generator: filters on the result then stay above it, instead of being pushed down
         # as copies that would parse the line again for every field they test.
-        .withColumn("e", F.explode(F.array(F.when(F.size("_found") == 1, F.get("_found", F.lit(0))))))
+        .withColumn("e", F.explode(F.array(F.when(sealed, F.get("_found", F.lit(0))))))
         .drop("_found")
     )
     nulled = F.lit(0)
@@ -171,7 +175,8 @@ def _gzip_verifier():
 
 def unreadable_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     """``(path, error)`` of the files that do not decompress; only run after a read has failed."""
-    files = spark.read.format("binaryFile").load(paths).select("path", "content")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.gz")
+    files = files.load(paths).select("path", "content")
     checked = files.mapInPandas(_gzip_verifier(), "path string, error string")
     return checked.filter(F.col("error").isNotNull())
 
@@ -214,10 +219,12 @@ def ingest_hours(
 
     wanted = written(hours.select("hour").distinct(), "hours")
     todo = wanted if force else missing_hours(wanted, done_hours(log))
-    # One entry per landed file of the requested hours: bounded by the calendar, not by the data.
-    found = written(todo.join(landing_files(spark, landing), "hour", "left"), "landed")
-    todo = found.select("hour").distinct()
-    paths = [r[0] for r in found.filter(F.col("path").isNotNull()).select("path").collect()]
+    # One entry per requested hour, bounded by the calendar: its place follows from its name, so
+    # neither other hours nor the hour's own files are listed here.
+    places = [(r[0], hour_path(spark, landing, r[0])) for r in todo.select("hour").collect()]
+    found = spark.createDataFrame(places, "hour timestamp_ntz, path string")
+    todo = found.select("hour")
+    paths = [p for _, p in places if p is not None]
 
     rows, bad = _parse_or_isolate(spark, paths, event_types, stamp)
     errors = found.select(
@@ -243,7 +250,8 @@ def ingest_hours(
             write_bronze(lost.select("source_file", "raw", event_date, hour_text), quarantine)
     done = ok.join(counts, "hour", "left")
     if force:
-        _empty_partitions(spark, bronze, done.filter(F.coalesce("rows_kept", F.lit(0)) == 0))
+        empty = done.filter(F.coalesce("rows_kept", F.lit(0)) == 0).select("hour").collect()
+        remove_folders(spark, [_partition_dir(bronze, r[0]) for r in empty])
 
     sizes = _written_bytes(spark, bronze, ok)
     n = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
@@ -305,15 +313,6 @@ def _partition_dir(root: str, hour: datetime) -> str:
     return f"{root}/event_date={hour:%Y-%m-%d}/hour={hour:%H}"
 
 
-def _empty_partitions(spark: SparkSession, bronze: str, hours: DataFrame) -> None:
-    """Dynamic overwrite leaves a partition alone when it gets no rows; replace those explicitly."""
-    empty = spark.createDataFrame([], BRONZE)
-    for (hour,) in hours.select("hour").collect():
-        folder = _partition_dir(bronze, hour)
-        if path_exists(spark, folder):
-            empty.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
-
-
 def _written_bytes(spark: SparkSession, bronze: str, hours: DataFrame) -> DataFrame:
     """Bytes per hour, listing only the days that these hours lie in."""
     days = hours.select(F.to_date("hour").alias("d")).distinct().collect()
@@ -378,7 +377,6 @@ __all__ = [
     "done_hours",
     "ingest_hours",
     "line_counters",
-    "list_files",
     "missing_hours",
     "parse_events",
     "partition_hour",

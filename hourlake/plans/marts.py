@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from hourlake.functions import event_hour, hours_before
 from hourlake.operators.percentiles import grouped_percentiles
+from hourlake.operators.skew import HEAVY_ROWS, salted_join
 
 
 def daily_repo_activity(
@@ -33,8 +34,12 @@ def daily_repo_activity(
     )
 
 
-def pr_lifecycle_mart(fact: DataFrame) -> DataFrame:
-    """One row per merge with a known opening, next to its repository's p50 and p95."""
+def pr_lifecycle_mart(fact: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """One row per merge with a known opening, next to its repository's p50 and p95.
+
+    The percentiles come from an aggregate, which adaptive execution can't split in a join, so a
+    repository with very many merges is salted.
+    """
     rows = fact.filter(F.col("is_pr_merged") & F.col("hours_to_merge").isNotNull()).select(
         "repo_id", "pr_number", "created_at", "hours_to_merge"
     )
@@ -45,7 +50,7 @@ def pr_lifecycle_mart(fact: DataFrame) -> DataFrame:
         3600.0,
         {"repo_p50_hours_to_merge": 0.5, "repo_p95_hours_to_merge": 0.95},
     )
-    return rows.join(pace, "repo_id").select(
+    return salted_join(rows, pace, ["repo_id"], "inner", heavy_rows).select(
         "repo_id",
         "pr_number",
         hours_before("created_at", "hours_to_merge").alias("opened_at"),

@@ -13,6 +13,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
 
 
+def remove_folders(spark: SparkSession, paths: list[str]) -> None:
+    """Remove partitions that are to be replaced by nothing: a dynamic overwrite leaves those alone."""
+    for path in paths:
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
 def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     """One row ``(path, length)`` per file below ``root``; no rows when there is no such folder.
 

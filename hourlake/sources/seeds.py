@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,17 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from hourlake.schemas import EVENT_TYPES
 
 
-def read_seed(spark: SparkSession, path: str, schema) -> DataFrame:
-    """A CSV lookup with a header, ``#`` comments and a declared schema."""
-    return (
-        spark.read.schema(schema)
-        .option("header", "true")
-        .option("comment", "#")
-        .option("enforceSchema", "false")
-        .csv(path)
-    )
-
-
 def event_types(spark: SparkSession) -> DataFrame:
     """The packaged event-type lookup.
 
@@ -28,5 +18,5 @@ def event_types(spark: SparkSession) -> DataFrame:
     """
     text = (Path(__file__).parent.parent / "seeds" / "event_types.csv").read_text("utf-8")
     lines = [ln for ln in text.splitlines() if ln and not ln.startswith("#")]
-    rows = [ln.split(",") for ln in lines[1:]]
+    rows = list(csv.reader(lines[1:]))
     return spark.createDataFrame([tuple(r) for r in rows], EVENT_TYPES)

@@ -1,17 +1,21 @@
-"""Streaming ingest: every landed file once."""
+"""Streaming ingest: every landed file once, into the same bronze, quarantine and run log as the batch."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from hourlake.plans.ingest import KEPT, classify_lines
-from hourlake.schemas import BRONZE, DEFAULT_EVENT_TYPES
+from hourlake.plans.ingest import KEPT, MALFORMED, classify_lines, line_counters, run_log_rows
+from hourlake.schemas import BRONZE, DEFAULT_EVENT_TYPES, RUN_LOG
 from hourlake.session import pin_utc
-from hourlake.sources.bronze import partition_columns
+from hourlake.sources.bronze import partition_columns, read_bronze, write_bronze
+from hourlake.sources.files import read_or_empty
 from hourlake.sources.landing import hour_of_path
+from hourlake.sources.scratch import written
+from hourlake.sources.tables import append
 
 
 def stream_lines(spark: SparkSession, landing: str, max_files: int | None = None) -> DataFrame:
@@ -23,13 +27,57 @@ def stream_lines(spark: SparkSession, landing: str, max_files: int | None = None
     return reader.text(landing).select("value", F.col("_metadata.file_path").alias("source_file"))
 
 
-def stream_events(lines: DataFrame, event_types: Sequence[str] = DEFAULT_EVENT_TYPES) -> DataFrame:
-    """Classified rows (see ``classify_lines``), stamped with the micro-batch's time."""
-    stamp = F.current_timestamp().cast("timestamp_ntz")
+def stream_events(
+    lines: DataFrame, event_types: Sequence[str] = DEFAULT_EVENT_TYPES, stamp: datetime | Column | None = None
+) -> DataFrame:
+    """Classified rows (see ``classify_lines``), stamped with the micro-batch's time unless ``stamp`` is given."""
+    if stamp is None:
+        stamp = F.current_timestamp().cast("timestamp_ntz")
     hour = hour_of_path(F.col("source_file"))
     return classify_lines(lines.withColumn("file_hour", hour), event_types, stamp)
 
 
+def _merged(spark: SparkSession, new: DataFrame, root: str, layout: list[str], stored: DataFrame) -> None:
+    """Put ``new`` into its hours: rows of the same files are replaced, rows of other files stay."""
+    touched = new.select("event_date", "hour").distinct()
+    files = new.select("source_file").distinct()
+    kept = stored.join(touched, ["event_date", "hour"], "left_semi").join(files, "source_file", "left_anti")
+    write_bronze(kept.select(*layout).unionByName(new.select(*layout)).hint("rebalance", "event_date", "hour"), root)
+
+
+def ingest_batch(
+    rows: DataFrame,
+    batch: str,
+    bronze: str,
+    run_log: str | None = None,
+    quarantine: str | None = None,
+    finished_at: datetime | None = None,
+) -> None:
+    """One micro-batch of classified rows into bronze, quarantine and run log; running it again changes nothing."""
+    spark = rows.sparkSession
+    started = datetime.now(UTC).replace(tzinfo=None)
+    day, hour = partition_columns(F.col("file_hour"))
+    rows = written(rows.filter(F.col("file_hour").isNotNull()).withColumns({"event_date": day, "hour": hour}), "micro-batch")
+    keys = ["event_date", "hour"]
+    _merged(spark, rows.filter(F.col("outcome") == KEPT), bronze, [*BRONZE.names, *keys], read_bronze(spark, bronze))
+    if quarantine:
+        lost = "source_file string, raw string, event_date date, hour string"
+        stored = read_or_empty(spark, quarantine, lost)
+        _merged(spark, rows.filter(F.col("outcome") == MALFORMED), quarantine, ["source_file", "raw", *keys], stored)
+    if run_log:
+        counts = line_counters(rows, "file_hour").withColumnRenamed("file_hour", "hour")
+        none = F.lit(None)
+        outcomes = counts.select(
+            "hour", F.lit("success").alias("status"), "rows_read", "rows_kept", "malformed_rows",
+            none.cast("bigint").alias("bytes_written"), none.cast("string").alias("error_message"),
+        )
+        finished = finished_at or datetime.now(UTC).replace(tzinfo=None)
+        log = run_log_rows(outcomes, batch, started, finished)
+        # A repeated micro-batch has the same run ids.
+        done = read_or_empty(spark, run_log, RUN_LOG).select("run_id")
+        append(written(log.join(done, "run_id", "left_anti"), "runs").coalesce(1), run_log)
+
+
 def stream_to_bronze(
     spark: SparkSession,
     landing: str,
@@ -37,18 +85,24 @@ def stream_to_bronze(
     checkpoint: str,
     event_types: Sequence[str] = DEFAULT_EVENT_TYPES,
     max_files: int | None = None,
+    run_log: str | None = None,
+    quarantine: str | None = None,
+    ingested_at: datetime | None = None,
 ) -> StreamingQuery:
-    """Ingest all files not seen before and stop. The checkpoint makes every file count once."""
+    """Ingest all files not seen before and stop. The checkpoint makes every file count once.
+
+    Micro-batches go through the batch writer, so stream and batch can share all tables. An hour whose files come
+    in several micro-batches is logged once for each, with the counts of its part.
+    """
     pin_utc(spark)
-    rows = stream_events(stream_lines(spark, landing, max_files), event_types)
-    day, hour = partition_columns(F.col("file_hour"))
-    kept = rows.filter(F.col("outcome") == KEPT).select(*BRONZE.names, day, hour)
+    rows = stream_events(stream_lines(spark, landing, max_files), event_types, ingested_at)
+
+    def put(batch_rows: DataFrame, batch_id: int) -> None:
+        ingest_batch(batch_rows, f"{checkpoint}#{batch_id}", bronze, run_log, quarantine)
+
     return (
-        kept.writeStream.format("parquet")
-        .option("path", bronze)
+        rows.writeStream.foreachBatch(put)
         .option("checkpointLocation", checkpoint)
-        .option("compression", "zstd")
-        .partitionBy("event_date", "hour")
         .outputMode("append")
         .trigger(availableNow=True)
         .start()

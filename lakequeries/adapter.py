@@ -12,9 +12,6 @@ from hourlake.session import pin_utc
 #: "Now" of every query, just after the last event, so that results do not depend on the clock.
 NOW = datetime(2024, 1, 31)
 
-#: Tasks that write or parse the lines of the test feed.
-PARTS = 16
-
 # What each event type of the table stands for in the feed.
 FEED_TYPE = {
     "signup": "PullRequestEvent",
@@ -39,6 +36,10 @@ def _mapped(mapping: dict[str, str]) -> Column:
     return out
 
 
+#: Text after a line's object: it closes what a parser may have put around the line.
+TAILS = ("]}", "]} x", ']},{"x":[1')
+
+
 def third_of_month(ts: str) -> Column:
     """0, 1 or 2 (3 on the 31st): names change with it."""
     return F.floor((F.dayofmonth(ts) - 1) / 10)
@@ -113,11 +114,14 @@ def whole_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As ``whole_lines``, with faults: issue events are cut short (malformed) and every pull-request
-    opening is followed by a blank line.
+    """As ``whole_lines``, with faults: issue events are cut short or have text after the object, in four
+    ways (all malformed), and every pull-request opening is followed by a blank line.
     """
     lines = _lines(feed(spark, sf_dir))
     cut = F.substring("value", 1, F.length("value") - 1)
+    way = F.col("event_id") % 4
+    for k, tail in enumerate(TAILS):
+        cut = F.when(way == k + 1, F.concat("value", F.lit(tail))).otherwise(cut)
     text = F.when(F.col("event_type") == "IssuesEvent", cut).otherwise(F.col("value"))
     opened = F.coalesce(F.col("action") == "opened", F.lit(False))
     texts = F.when(opened, F.array(text, F.lit("  \t"))).otherwise(F.array(text))
@@ -125,8 +129,8 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lines(ev: DataFrame) -> DataFrame:
-    # The table is one small split; the feed's lines come from many files.
-    ev = ev.repartition(PARTS)
+    # The table may be one file; the feed's lines come from many. As many tasks as a shuffle has.
+    ev = ev.repartition("event_id")
     pattern = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
     push = F.col("event_type") == "PushEvent"
     local = F.date_format(F.col("created_at") + F.expr("INTERVAL '05:30' HOUR TO MINUTE"), pattern)
@@ -148,13 +152,21 @@ def _lines(ev: DataFrame) -> DataFrame:
             ).alias("payload"),
         )
     )
-    return ev.select(line.alias("value"), "source_file", "event_type", "action")
+    return ev.select(line.alias("value"), "source_file", "event_type", "action", "event_id")
+
+
+def put_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """A file with this content, wherever the session's file systems put it."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).create(jpath)
+    out.write(bytearray(data))
+    out.close()
 
 
 def land(lines: DataFrame, landing: str) -> None:
-    """Write raw lines as one gzip part per hour, in folders named after the hour."""
+    """Write raw lines as gzip parts of even size, in folders named after the hour."""
     (
-        lines.repartition(PARTS, "source_file")
+        lines.hint("rebalance", "source_file")
         .withColumnRenamed("source_file", "hour_file")
         .write.partitionBy("hour_file")
         .option("compression", "gzip")

@@ -199,9 +199,7 @@ _q("s02_bronze_partition_sink", """
 SELECT CAST(ts AS DATE) AS event_date, strftime(ts, '%H') AS hour, count(*) AS n,
   CAST(sum(event_id) AS BIGINT) AS ids, count(DISTINCT user_id) AS actors FROM events GROUP BY 1, 2""")
 _q("s03_bronze_scan", """
-SELECT event_id, event_type, created_at, repo_id, repo_name, pr_number, CAST(created_at AS DATE) AS event_date,
-  strftime(created_at, '%H') AS hour
-FROM ev WHERE CAST(created_at AS DATE) BETWEEN DATE '2024-01-06' AND DATE '2024-01-25'""", EV)
+SELECT *, CAST(created_at AS DATE) AS event_date, strftime(created_at, '%H') AS hour FROM ev""", EV)
 _q("s04_seed_lookup", """
 SELECT t.event_type, t.description, t.category, count(e.event_id) AS n
 FROM event_types t LEFT JOIN ev e ON e.event_type = t.event_type GROUP BY ALL""", EV + TYPES)
@@ -209,7 +207,7 @@ _q("s05_table_publish", "SELECT * FROM volume", EV + VOLUME)
 _q("s06_run_log_append", "SELECT * FROM runs", RUNS)
 _q("s07_read_or_empty", "SELECT event_type, count(*) AS n FROM ev GROUP BY 1", EV)
 _q("s08_partition_listing", """
-SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS hour, CAST(1 AS BIGINT) AS files, true AS has_bytes
+SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS hour, true AS has_files, true AS has_bytes
 FROM events GROUP BY 1""")
 
 # -- ingest -------------------------------------------------------------------------------------
@@ -237,7 +235,8 @@ _q("i05_quarantine", """
 SELECT source_file, CAST(
     length('{"id":"' || event_id || '","type":"IssuesEvent","created_at":"2024-01-01T00:00:00.000000Z","actor":{"id":'
     || actor_id || ',"login":"' || actor_login || '"},"repo":{"id":' || repo_id || ',"name":"' || repo_name
-    || '"},"org":{"id":' || org_id || '},"payload":{"issue":{"number":' || issue_number || '}}') AS BIGINT) AS raw_length
+    || '"},"org":{"id":' || org_id || '},"payload":{"issue":{"number":' || issue_number || '}}')
+    + CASE event_id % 4 WHEN 1 THEN 3 WHEN 2 THEN 5 WHEN 3 THEN 11 ELSE 0 END AS BIGINT) AS raw_length
 FROM ev WHERE event_type = 'IssuesEvent'""", EV)
 _q("i06_timestamp_normalisation", "SELECT o_orderkey, o_orderdate AS placed_at FROM orders")
 _q("i08_line_counters", f"""
@@ -250,6 +249,15 @@ _q("i12_backfill", f"""
 SELECT * EXCLUDE (source_file) REPLACE (TIMESTAMP '2024-02-01' AS ingested_at),
   CAST(created_at AS DATE) AS event_date, strftime(created_at, '%H') AS hour
 FROM ev WHERE {KEPT}""", EV)
+_q("i09_idempotent_skip", """
+SELECT CASE WHEN e.hour IS NULL THEN 'failed' ELSE 'skipped' END AS status, count(*) AS hours FROM hours
+LEFT JOIN (SELECT DISTINCT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS hour FROM events) e USING (hour) GROUP BY 1""", HOURS)
+_q("i14_unreadable_files", """
+, e AS (SELECT DISTINCT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS hour FROM events)
+SELECT * FROM (
+  SELECT 'success' AS status, '' AS error, count(*) AS hours FROM e
+  UNION ALL SELECT 'failed', 'source file not found', (SELECT count(*) FROM hours WHERE hour NOT IN (SELECT hour FROM e)) + 1
+  UNION ALL SELECT 'failed', 'corrupt gzip', 1 UNION ALL SELECT 'failed', 'truncated gzip', 1)""", HOURS)
 _q("i13_missing_hours", """
 SELECT hour FROM hours WHERE hour NOT IN (
   SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) FROM events WHERE event_type = 'purchase')""", HOURS)
@@ -346,6 +354,7 @@ _q("g09_upsert", "SELECT * FROM latest", LATEST)
 _q("g09b_upsert_table", """
 SELECT event_id, actor_login, ingested_at, CAST(strftime(ingested_at, '%Y%m%d') AS INTEGER) AS date_key FROM latest""", LATEST)
 _q("g10_fact_events", "SELECT * FROM fact", FACT)
+_q("g10c_fact_late_batches", "SELECT * FROM fact", FACT)
 _q("g10b_fact_events_window", "SELECT * FROM fact", FACT)
 _q("g11_open_merge_pairs", "SELECT * REPLACE (CAST(hours_to_merge AS DOUBLE) AS hours_to_merge) FROM pairs", EV + pairs("ev"))
 _q("g11b_first_merge", """
@@ -358,8 +367,8 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
 _q("g13_merge_flag", """
 SELECT event_id, coalesce(event_type = 'PullRequestEvent' AND action = 'merged', false) AS is_pr_merged FROM ev""", EV)
 _q("g14_event_type_dimension", """
-SELECT md5(event_type) AS event_type_key, event_type, description, category FROM event_types
-WHERE event_type IN (SELECT event_type FROM ev)""", EV + TYPES)
+SELECT md5(t.event_type) AS event_type_key, t.event_type, description, category, count(event_id) AS events
+FROM event_types t LEFT JOIN ev USING (event_type) GROUP BY ALL""", EV + TYPES)
 _q("g15_date_key", """
 SELECT CAST(strftime(l_shipdate, '%Y%m%d') AS INTEGER) AS date_key, count(*) AS n FROM lineitem GROUP BY 1""")
 
@@ -493,13 +502,17 @@ FROM runs WHERE status = 'failed'""", RUNS)
 
 _EXPIRED = """SELECT CAST(ts AS DATE) AS event_date, count(DISTINCT date_trunc('hour', ts)) AS files FROM events
   WHERE CAST(ts AS DATE) < DATE '2024-01-24' GROUP BY 1"""
-_q("r01_expired_partitions", _EXPIRED)
+_q("r01_expired_partitions", f"SELECT event_date, files > 0 AS has_files FROM ({_EXPIRED})")
 _q("r02_reclaimable", f"""
-SELECT DATE '2024-01-24' AS cutoff_date, count(*) AS dates_expired, CAST(coalesce(sum(files), 0) AS BIGINT) AS files_expired,
+SELECT DATE '2024-01-24' AS cutoff_date, count(*) AS dates_expired, coalesce(sum(files), 0) > 0 AS files_expired,
   count(*) > 0 AS bytes_reclaimable FROM ({_EXPIRED})""")
 _q("r03_retained", """
 SELECT CAST(ts AS DATE) AS event_date, count(*) AS n FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-24' GROUP BY 1""")
 
+_q("r04_footprint", """
+SELECT zone, filled AS has_files, filled AS has_bytes, filled AS has_mb FROM (
+  VALUES ('bronze', (SELECT count(*) > 0 FROM events)), ('tables', true), ('none', false)) AS z(zone, filled)""")
+
 # -- analytics ----------------------------------------------------------------------------------
 
 _DAYS = "BETWEEN DATE '2024-01-06' AND DATE '2024-01-25'"
@@ -556,11 +569,21 @@ SELECT CASE event_type WHEN 'PullRequestEvent' THEN 'action,pull_request' WHEN '
 _q("p05_action_distribution", """
 SELECT action, count(*) AS n FROM ev WHERE event_type = 'PullRequestEvent' GROUP BY 1""", EV)
 
+_q("p06_form_sizes", """
+SELECT form, true AS has_bytes, true AS not_larger FROM (VALUES ('raw'), ('gzip'), ('all_columns'), ('projected')) AS f(form)
+WHERE EXISTS (SELECT 1 FROM events)""")
+
 # -- streaming ----------------------------------------------------------------------------------
 
-_q("t01_stream_ingest", f"""
-SELECT * EXCLUDE (source_file, ingested_at), CAST(created_at AS DATE) AS event_date, strftime(created_at, '%H') AS hour
-FROM ev WHERE {KEPT}""", EV)
+_STREAMED = f"""
+SELECT * REPLACE (TIMESTAMP '2024-02-01' AS ingested_at), CAST(created_at AS DATE) AS event_date, strftime(created_at, '%H') AS hour
+FROM ev WHERE {KEPT}"""
+_q("t01_stream_ingest", _STREAMED, EV)
+_q("t01b_stream_then_batch", _STREAMED, EV)
+_q("t01c_stream_counters", f"""
+SELECT CAST(date_trunc('hour', created_at) AS TIMESTAMP) AS hour, count(*) AS rows_read, count(*) FILTER (WHERE {KEPT}) AS rows_kept,
+  count(*) FILTER (WHERE event_type = 'IssuesEvent') AS malformed_rows, count(*) FILTER (WHERE event_type = 'IssuesEvent') AS quarantined
+FROM ev GROUP BY 1""", EV)
 _q("t02_stream_dedupe", "SELECT event_id, event_type, created_at, repo_id FROM ev", EV)
 _q("t03_stream_upsert", """
 SELECT *, CAST(strftime(created_at, '%Y%m%d') AS INTEGER) AS date_key FROM latest""", LATEST)

@@ -43,24 +43,18 @@ EVENT_COLUMNS = (
 )
 
 
+_NOON = datetime(2024, 1, 15, 12)
+_PLAIN_EVENT = (
+    None, "PushEvent", _NOON, 1, "octo", 10, "octo/hello", None, None, None, None, _NOON.replace(hour=14), "2024-01-15-12.json.gz",
+)
+
+
 def event(event_id: int, **over) -> tuple:
-    row = dict(
-        event_id=event_id,
-        event_type="PushEvent",
-        created_at=ts("2024-01-15T12:00:00"),
-        actor_id=1,
-        actor_login="octo",
-        repo_id=10,
-        repo_name="octo/hello",
-        org_id=None,
-        action=None,
-        pr_number=None,
-        issue_number=None,
-        ingested_at=ts("2024-01-15T14:00:00"),
-        source_file="2024-01-15-12.json.gz",
-    )
-    row.update(over)
-    return tuple(row.values())
+    """A bronze row: a plain push with this id, and other values where given."""
+    names = [c.split()[0] for c in EVENT_COLUMNS.split(", ")]
+    unknown = set(over) - set(names)
+    assert not unknown, unknown
+    return tuple({**dict(zip(names, _PLAIN_EVENT)), "event_id": event_id, **over}[n] for n in names)
 
 
 def bronze(spark, *events: tuple):

@@ -2,6 +2,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 from conftest import rows, ts
 
 from hourlake.operators import skew
@@ -131,3 +132,27 @@ def test_salted_join_equals_plain_join(spark, how, heavy_rows):
     assert rows(got.select(*sorted(got.columns))) == rows(
         left.join(right, ["a", "b"], how).select(*sorted(got.columns))
     )
+
+
+@pytest.mark.parametrize("versions", [3, 33])
+def test_overlapping_versions_give_one_row_in_every_strategy(spark, versions):
+    start = datetime(2024, 1, 1)
+    fact = spark.createDataFrame([(1, 1, start + timedelta(days=50)), (2, 1, start + timedelta(hours=1)), (3, 9, start)], FACT)
+    dim = spark.createDataFrame([(1, f"v{i}", start + timedelta(days=i), None) for i in range(versions)], DIM)
+    want = {1: f"v{versions - 1}", 2: "v0", 3: None}
+    for strategy in ("auto", "range", "window"):
+        got = point_in_time_join(fact, dim, "k", "t", strategy=strategy).collect()
+        assert {r["id"]: r["name"] for r in got} == want and len(got) == 3
+
+
+def test_every_heavy_key_is_split(spark):
+    df = spark.range(0, 40_000).selectExpr("id", "id % 2000 as k", "timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, 0, id) as t")
+    spans = skew.find_spans(df, ["k"], "t", heavy_rows=10)
+    sizes = spans.assign(df, "t").groupBy("k").agg(F.count_distinct("_span").alias("spans"))
+    assert sizes.filter("spans >= 2").count() == 2000
+
+
+def test_the_largest_key_gets_as_many_pieces_as_it_needs(spark):
+    df = spark.range(0, 30_000).selectExpr("id", "if(id % 3 = 0, id, 0) as k", "timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, 0, id) as t")
+    sizes = skew.find_spans(df, ["k"], "t", heavy_rows=20).assign(df, "t").filter("k = 0").groupBy("_span").count()
+    assert sizes.count() > 900 and sizes.agg(F.max("count")).first()[0] < 60

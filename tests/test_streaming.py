@@ -107,3 +107,39 @@ def test_append_mode_leaves_the_newest_window_open(spark, tmp_path):
     stream = hourly_volume_stream(spark.readStream.schema(EVENT_COLUMNS).parquet(source))
     stream.writeStream.format("parquet").option("checkpointLocation", cp).trigger(availableNow=True).start(out).awaitTermination()
     assert sorted(r["event_hour"] for r in spark.read.parquet(out).filter(F.col("event_count") > 0).collect()) == [10, 11, 12]
+
+
+def test_stream_and_batch_share_all_tables(spark, tmp_path):
+    from datetime import datetime
+
+    from hourlake.plans import ingest
+    from hourlake.sources.landing import hour_range
+
+    landing, out, cp, log, bad = (str(tmp_path / n) for n in ("landing", "bronze", "cp", "log", "bad"))
+    land(landing, "2024-01-15-5.json.gz", [line(1), "{bad", "", line(2, "WatchEvent")])
+    stream = lambda: stream_to_bronze(spark, landing, out, cp, TYPES, run_log=log, quarantine=bad).awaitTermination()
+    stream()
+    hours = hour_range(spark, datetime(2024, 1, 15, 5), datetime(2024, 1, 15, 6))
+    land(landing, "2024-01-15-6.json.gz", [line(3)])
+    first = ingest.ingest_hours(spark, landing, out, log, hours, event_types=TYPES, quarantine=bad).collect()
+    assert [r["status"] for r in first] == ["skipped", "success"]
+    stream()  # takes the batch's hour again, without doubling it
+    assert sorted(r["event_id"] for r in read_bronze(spark, out).collect()) == [1, 3]
+    assert [r["raw"] for r in spark.read.parquet(bad).collect()] == ["{bad"]
+    runs = {(r["hour_processed"].hour, r["rows_read"], r["rows_written"], r["malformed_rows"]) for r in ingest.read_run_log(spark, log).collect()}
+    assert runs == {(5, 3, 1, 1), (6, 1, 1, 0)}
+
+
+def test_a_repeated_micro_batch_changes_nothing(spark, tmp_path):
+    from hourlake.plans import ingest
+    from hourlake.streaming.bronze import ingest_batch
+
+    out, log = str(tmp_path / "bronze"), str(tmp_path / "log")
+    names = ["2024-01-15-5.json.gz", "2024-01-15-5.json.gz/part-2.gz"]
+    lines = spark.createDataFrame([(line(1), names[0]), (line(2), names[1])], "value string, source_file string")
+    lines = lines.withColumn("file_hour", F.lit("2024-01-15 05:00:00").cast("timestamp_ntz"))
+    part = lambda n: ingest.classify_lines(lines.filter(F.col("source_file") == n), TYPES)
+    for n, b in ((names[0], "a"), (names[1], "b"), (names[1], "b")):
+        ingest_batch(part(n), b, out, log)
+    assert sorted(r["event_id"] for r in read_bronze(spark, out).collect()) == [1, 2]
+    assert ingest.read_run_log(spark, log).count() == 2
