@@ -16,6 +16,7 @@ ORACLE_SQL = None
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality policy rejects go."""
+    queries.importable(spark)
     return quality_rules.passing_documents(docs)
 
 

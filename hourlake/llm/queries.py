@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,8 +22,17 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it (a shared install, else use ``--py-files``)."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *known])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     pin_utc(spark)
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
