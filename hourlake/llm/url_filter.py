@@ -1,9 +1,10 @@
 """Judge URLs by rules and, where none fits, by gradient-boosted trees, with DataFrame and SQL functions only.
 
 A rule is a host and a path; it fits the host and all its subdomains if the URL's path starts with the rule's. The
-longest fitting rule decides. The URLs that rules decide are the labelled ones: the trees are trained on at most
-``SAMPLE`` of them (by least hash) on lexical features: length, depth, digit ratio, entropy, parameter counts and the
-statistics of the host's suffix. Each level of a tree is one aggregate over binned features, whose size
+longest fitting rule decides. The URLs that rules decide are the labelled ones. How common a host's suffix is, and how often blocked, is
+counted over all labelled rows. The trees are trained on at most ``SAMPLE`` distinct labelled URLs, drawn by their
+counts (see ``drawn``), on lexical features: length, depth, digit ratio, entropy, parameter counts and the
+statistics of the suffix. Each level of a tree is one aggregate over binned features, whose size
 does not depend on the data; the finished trees are one SQL expression, so scoring is a plain projection.
 
 A null URL, or one without ``://``, has empty host and path, fits no rule and is judged by the trees. Repeated rows
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from hourlake.sources.scratch import written
 
-#: Bound of the training sample, and the model's size.
+#: Bound of the trees' training sample, and the model's size.
 SAMPLE = 50_000
 TREES, DEPTH, BINS, RATE, RIDGE = 12, 3, 16, 0.3, 1.0
 
@@ -81,6 +82,10 @@ def _count(text: Column, pattern: str) -> Column:
 FEATURES = ("length", "host_length", "labels", "depth", "digits", "digit_ratio", "entropy", "parameters", "query_length", "signs", "last_length", "suffix_share", "suffix_blocked")
 
 
+def suffix_of(host: Column) -> Column:
+    return F.regexp_extract(host, r"([^.]*\.[^.]*|[^.]*)$", 1)
+
+
 def features(rows: DataFrame) -> DataFrame:
     """Adds the lexical features, and ``suffix``, to rows with ``url, host, path``."""
     url = F.coalesce(F.col("url"), F.lit(""))
@@ -88,7 +93,7 @@ def features(rows: DataFrame) -> DataFrame:
     digits = _count(url, "[0-9]").cast("double")
     return rows.select(
         "*",
-        F.regexp_extract("host", r"([^.]*\.[^.]*|[^.]*)$", 1).alias("suffix"),
+        suffix_of(F.col("host")).alias("suffix"),
         F.length(url).cast("double").alias("length"),
         F.length("host").cast("double").alias("host_length"),
         _count(F.col("host"), r"\.").cast("double").alias("labels"),
@@ -104,10 +109,37 @@ def features(rows: DataFrame) -> DataFrame:
 
 
 def with_suffix_statistics(rows: DataFrame, stats: DataFrame) -> DataFrame:
-    """Adds how common a suffix is among labelled URLs and how often these are blocked (smoothed; 0.5 if unseen)."""
+    """Adds a suffix's share of the labelled rows and how often these are blocked (smoothed; 0.5 if unseen)."""
     return rows.join(stats, "suffix", "left").na.fill({"suffix_share": 0.0, "suffix_blocked": 0.5})
 
 
+def suffix_statistics(counted: DataFrame) -> DataFrame:
+    """``suffix, suffix_share, suffix_blocked`` over all labelled rows, from ``host, y`` and the rows ``n`` of each URL."""
+    stats = counted.groupBy(suffix_of(F.col("host")).alias("suffix")).agg(F.sum("n").cast("double").alias("n"), F.sum(F.col("n") * F.col("y")).alias("blocked"))
+    stats = written(stats, "suffixes")
+    total = stats.agg(F.sum("n")).first()[0] or 1.0
+    return stats.select("suffix", (F.col("n") / total).alias("suffix_share"), ((F.col("blocked") + 1) / (F.col("n") + 2)).alias("suffix_blocked"))
+
+
+def drawn(counted: DataFrame, sample: int) -> DataFrame:
+    """At most ``sample`` of the distinct URLs, with the ``weight`` each has in the sample.
+
+    Priority sampling: the URLs with the greatest n / u are taken (u: the url's hash as a number between 0 and 1); the
+    first one left out has priority t, and a URL stands for max(n, t) rows, so sums over the sample are unbiased.
+    URLs of many rows are always in, with their own counts. Weights are scaled down to ``sample`` in all.
+    """
+    u = F.xxhash64("url").cast("double") / float(1 << 64) + 0.5 + 2.0**-54
+    first = written(counted.withColumn("priority", F.col("n") / u).orderBy(F.desc("priority"), "url").limit(sample + 1), "labelled-urls")
+    size, least = first.agg(F.count(F.lit(1)), F.min("priority")).first()
+    if size <= sample:
+        taken = first.withColumn("weight", F.col("n").cast("double"))
+    else:
+        last = first.where(F.col("priority") == least).agg(F.max("url")).first()[0]
+        taken = first.where((F.col("priority") > least) | (F.col("url") < last)).withColumn("weight", F.greatest(F.col("n").cast("double"), F.lit(least)))
+    total = taken.agg(F.sum("weight")).first()[0] or 1.0
+    return taken.withColumn("weight", F.round(F.col("weight") * min(1.0, sample / total), 9))
+
+
 @dataclass(frozen=True)
 class Node:
     """An inner node (feature, cut, children) or a leaf (value)."""
@@ -188,9 +220,10 @@ def _leaf(tree: Node) -> Column:
 
 
 def train(sample: DataFrame) -> Model:
-    """Boosted trees from ``FEATURES`` and ``y`` (1: block); the sample is a written table."""
-    n, blocked = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0.0))).first()
-    if not n or blocked in (0, n):
+    """Boosted trees from ``FEATURES``, ``y`` (1: block) and ``weight``; the sample is a written table."""
+    kinds = {r["y"]: r["weight"] for r in sample.groupBy("y").agg(F.sum("weight").alias("weight")).collect()}  # two at most
+    n, blocked = sum(kinds.values()), kinds.get(1.0, 0.0)
+    if len(kinds) < 2:
         return Model(20.0 if n and blocked else -20.0)
     from math import log
 
@@ -201,7 +234,7 @@ def train(sample: DataFrame) -> Model:
     cells = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), bin_of(f).alias("bin")) for f in FEATURES])).alias("cell")
     for _ in range(TREES):
         p = model.probability()
-        state = sample.select("*", (F.col("y") - p).alias("g"), (p * (1 - p)).alias("h"))
+        state = sample.select("*", (F.col("weight") * (F.col("y") - p)).alias("g"), (F.col("weight") * p * (1 - p)).alias("h"))
         tree = Node()
         for _ in range(DEPTH):
             sums = state.select(_leaf(tree).alias("leaf"), "g", "h", cells).groupBy("leaf", "cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).collect()
@@ -229,11 +262,12 @@ def judged(pages: DataFrame, rules: tuple[Rule, ...] = RULES, sample: int = SAMP
     host, path = host_and_path(url)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), url.alias("url"), host.alias("host"), path.alias("path"))
     rows = rows.withColumn("fit", fitting_rule(F.col("host"), F.col("path"), rules))
-    labelled = rows.where("fit is not null").select("url", "host", "path", F.when(F.col("fit.verdict") == "block", 1.0).otherwise(0.0).alias("y"))
-    labelled = written(features(labelled.orderBy(F.xxhash64("url"), "url").limit(sample)), "labelled-urls")
-    stats = labelled.groupBy("suffix").agg(F.count(F.lit(1)).cast("double").alias("suffix_share"), ((F.sum("y") + 1) / (F.count(F.lit(1)) + 2)).alias("suffix_blocked"))
-    stats = written(stats, "suffixes")
-    model = train(written(with_suffix_statistics(labelled, stats).select(*FEATURES, "y"), "url-sample"))
+    labelled = rows.where("fit is not null").select("url", F.when(F.col("fit.verdict") == "block", 1.0).otherwise(0.0).alias("y"))
+    counted = written(labelled.groupBy("url", "y").agg(F.count(F.lit(1)).alias("n")), "url-counts")  # a url has one label
+    host, path = host_and_path(F.col("url"))
+    counted = counted.select("*", host.alias("host"), path.alias("path"))
+    stats = written(suffix_statistics(counted), "suffix-statistics")
+    model = train(written(with_suffix_statistics(features(drawn(counted, sample)), stats).select(*FEATURES, "y", "weight"), "url-sample"))
     scored = with_suffix_statistics(features(rows), stats).withColumn("probability", model.probability())
     by_model = F.when(F.col("probability") >= 0.5, "block").otherwise("allow")
     return scored.select("page_id", "host", "path", F.col("fit.name").alias("rule"), F.coalesce("fit.verdict", by_model).alias("verdict"), "probability")

@@ -385,6 +385,35 @@ def test_trees_learn_labelled_urls(spark):
     assert len(out) == 800 and right > 760
 
 
+def test_suffix_statistics_cover_all_labelled_rows(spark, monkeypatch):
+    """However small the trees' sample is."""
+    rng = random.Random(4)
+    urls = [f"http://h{k}.s{rng.randint(0, 30)}.com/{rng.choice(['fr', 'de', 'de'])}/{k % 50}" for k in range(600)] + ["http://x.hot.com/de/1"] * 300
+    seen, plain = [], url_filter.with_suffix_statistics
+    monkeypatch.setattr(url_filter, "with_suffix_statistics", lambda rows, stats: seen.append(stats) or plain(rows, stats))
+    out = url_filter.judged(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), sample=20)
+    assert out.count() == len(urls)
+    rows, blocked = Counter(), Counter()
+    for u in urls:
+        suffix = ".".join(u.split("/")[2].split(".")[-2:])
+        rows[suffix] += 1
+        blocked[suffix] += "/de/" in u
+    for stats in seen:
+        got = {r["suffix"]: (r["suffix_share"], r["suffix_blocked"]) for r in stats.collect()}
+        assert set(got) == set(rows)
+        for s, n in rows.items():
+            assert got[s] == pytest.approx((n / len(urls), (blocked[s] + 1) / (n + 2)))
+
+
+def test_a_repeated_url_does_not_fill_the_sample(spark):
+    signed = lambda u: (xxhash.xxh64_intdigest(u, 42) + (1 << 63)) % (1 << 64)
+    urls = sorted((f"http://h{k}.com/{('fr', 'de')[k % 2]}/{'9' * (k % 2 * 20)}{k}" for k in range(400)), key=signed)
+    urls = [urls[0]] * 500 + urls[1:] + ["http://h.net/", "http://h.net/" + "9" * 24]
+    out = url_filter.judged(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), sample=100).where("rule is null").collect()
+    good, bad = (r["probability"] for r in sorted(out, key=lambda r: r["page_id"]))
+    assert 1e-6 < good < 0.5 < bad < 1 - 1e-6
+
+
 # ---------------------------------------------------------------- language model
 
 
