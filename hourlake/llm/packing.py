@@ -8,8 +8,11 @@ alone, and every task computes the boundaries of just the sequences that its doc
 sequence the queues follow each other, so a document is cut only where its queue's turn ends.
 
 By default weights are the queues' own token counts: all queues drain together, every sequence has the corpus
-mixture, and only the last one has less than ``length`` tokens. Sources with less than 1/64 of the weight share
-one queue, which bounds the number of queues (65) and keeps their documents from being cut to crumbs.
+mixture, and only the last one has less than ``length`` tokens. A source with less than 1/64 of the weight has less
+than a run of ``length`` / 64 tokens due in a sequence; its deficit is carried until a whole run is due, which keeps its
+documents from being cut to crumbs. The runs of all these sources, each at its own due time, are sorted and summed up
+by Spark; in that order they are one queue to the rest, whose rate is at any time that of the sources still in it. So
+no task holds a list of these sources, however many there are.
 
 Tokens are written once, with the documents of a batch in one row, and are never shuffled. A null or empty text is
 its end token alone. A null source is the empty name; null ids and repeated rows are documents like others.
@@ -31,8 +34,10 @@ from hourlake.sources.scratch import written
 
 LENGTH = 1024
 END = 0
-#: A source with less than this part of the weight shares the common queue.
+#: A source with less than this part of the weight emits whole runs, this part of a sequence long.
 OWN_QUEUE = 1 / 64
+#: Tokens whose runs are summed up in one task.
+SPAN = 1 << 22
 #: Bytes of text whose tokens make one row.
 CHUNK = 1 << 20
 
@@ -117,21 +122,46 @@ def _tokenized(path: str):
     return rows
 
 
-def emitted(upto: np.ndarray, weights: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+Bend = tuple[np.ndarray, np.ndarray]
+
+
+def bend_of(weights: list[float], tokens: list[int]) -> Bend:
+    """Times, and how many tokens sources of these weights have emitted by then; linear in between."""
+    w, n = np.array([*weights, 1.0]), np.array([*tokens, 0], dtype=np.float64)
+    times = np.unique(np.concatenate([[0.0], 2 * n / w]))
+    return times, np.array([np.minimum(n, w * t / 2).sum() for t in times])
+
+
+def _due(t: np.ndarray, weights: np.ndarray, tokens: np.ndarray, bend: Bend | None) -> np.ndarray:
+    """How many tokens of each queue are due before each time."""
+    fluid = t[:, None] * weights[None, :] / 2
+    if bend is not None:
+        fluid[:, -1] = np.interp(t, *bend)
+    return np.clip(np.ceil(fluid - 0.5), 0, tokens[None, :]).astype(np.int64)
+
+
+def _time(x: np.ndarray, queue: np.ndarray, weights: np.ndarray, bend: Bend | None) -> np.ndarray:
+    """When token ``x`` of the queue is due."""
+    t = (2 * x + 1) / weights[queue]
+    return t if bend is None else np.where(queue == len(weights) - 1, np.interp(x + 0.5, bend[1], bend[0]), t)
+
+
+def emitted(upto: np.ndarray, weights: np.ndarray, tokens: np.ndarray, bend: Bend | None = None) -> np.ndarray:
     """How many tokens of each queue are among the first ``upto`` ones (one row for each value).
 
-    Token x of queue q is due at (2x + 1) / weight; equal times go in the order of the queues. A time by which not
+    Token x of queue q is due at (2x + 1) / weight, those of the last queue as ``bend`` says, if given; equal times go
+    in the order of the queues. A time by which not
     quite enough are due is guessed from the weights' sum (or bisected, once queues have run empty);
     the last few tokens are added in their order, so the result does not depend on the guess.
     """
     upto = np.minimum(upto.astype(np.int64), int(tokens.sum()))
-    due = lambda t: np.clip(np.ceil((t[:, None] * weights[None, :] - 1) / 2), 0, tokens[None, :]).astype(np.int64)
+    due = lambda t: _due(t, weights, tokens, bend)
     slack, total = len(tokens) + 1, float(weights.sum())
     low = np.maximum(2.0 * (upto - slack) / total, 0.0)
     far = upto - due(low).sum(axis=1) > 3 * slack
     if far.any():
         some = upto[far]
-        a, b = low[far], np.full(len(some), float((2 * tokens / weights).max()) + 1)
+        a, b = low[far], np.full(len(some), max(float((2 * tokens / weights).max()), 0.0 if bend is None else bend[0][-1]) + 1)
         for _ in range(100):
             mid = (a + b) / 2
             fits = due(mid).sum(axis=1) <= some
@@ -139,13 +169,14 @@ def emitted(upto: np.ndarray, weights: np.ndarray, tokens: np.ndarray) -> np.nda
         low[far] = a
     have = np.maximum(due(low) - 1, 0)  # one less: rounding may have counted a token that is due just then
     left = upto - have.sum(axis=1)
-    wait = np.where(have < tokens, (2 * have + 1) / weights, np.inf)
+    each = np.arange(len(tokens))
+    wait = np.where(have < tokens, _time(have, np.broadcast_to(each, have.shape), weights, bend), np.inf)
     rows = np.flatnonzero(left > 0)
     while len(rows):
         q = wait[rows].argmin(axis=1)
         have[rows, q] += 1
         now = have[rows, q]
-        wait[rows, q] = np.where(now < tokens[q], (2 * now + 1) / weights[q], np.inf)
+        wait[rows, q] = np.where(now < tokens[q], _time(now, q, weights, bend), np.inf)
         left[rows] -= 1
         rows = rows[left[rows] > 0]
     return have
@@ -154,24 +185,19 @@ def emitted(upto: np.ndarray, weights: np.ndarray, tokens: np.ndarray) -> np.nda
 _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def _windows(lo: np.ndarray, hi: np.ndarray, length: int, weights: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sequences that hold tokens ``lo`` … ``hi`` - 1 of the queues (and their neighbours), with the queues' counts before
-    each, and after each."""
+def _windows(queue: np.ndarray, lo: np.ndarray, hi: np.ndarray, length: int, weights: np.ndarray, tokens: np.ndarray, bend: Bend | None) -> tuple[np.ndarray, np.ndarray]:
+    """Sequences that hold tokens ``lo`` … ``hi`` - 1 of these queues (and their neighbours), with all queues' counts
+    before each, and after each."""
     last = int(-(-tokens.sum() // length)) - 1
-    own = np.flatnonzero(hi > lo)
-
-    def rank(x: np.ndarray) -> np.ndarray:
-        """About how many tokens come before token ``x`` of each of these queues."""
-        t = (2 * x + 1) / weights[own]
-        return np.clip(np.ceil((t[:, None] * weights[None, :] - 1) / 2), 0, tokens[None, :]).sum(axis=1).astype(np.int64)
-
-    first, final = rank(lo[own]) // length - 1, rank(hi[own] - 1) // length + 1
-    ids = np.unique(np.concatenate([np.arange(max(a, 0), min(b, last) + 1) for a, b in zip(first.tolist(), final.tolist(), strict=True)]))
+    rank = lambda x: _due(_time(x, queue, weights, bend), weights, tokens, bend).sum(axis=1)  # noqa: E731  tokens before, about
+    first, final = rank(lo) // length - 1, rank(hi - 1) // length + 1
+    size = np.minimum(final, last) + 1 - np.maximum(first, 0)
+    ids = np.unique(np.repeat(np.maximum(first, 0) - np.cumsum(size) + size, size) + np.arange(size.sum()))
     edges, place = np.unique(np.concatenate([ids, ids + 1]), return_inverse=True)
-    return ids, emitted(edges * length, weights, tokens)[place]
+    return ids, emitted(edges * length, weights, tokens, bend)[place]
 
 
-def _cut(names: list[str], weights: list[float], tokens: list[int], length: int, with_ids: bool):
+def _cut(names: list[str], weights: list[float], tokens: list[int], bend: Bend, run: int, length: int, with_ids: bool):
     order = {s: i for i, s in enumerate(names)}
     w, t = np.array(weights, dtype=np.float64), np.array(tokens, dtype=np.int64)
     common = len(names)
@@ -183,32 +209,47 @@ def _cut(names: list[str], weights: list[float], tokens: list[int], length: int,
 
     def piece_rows(r: dict) -> pa.RecordBatch:
         sizes = np.array(r["lengths"], dtype=np.int64)
-        local = [order.get(x["source"], common) for x in r["totals"]]
-        queue = np.array([local[k] for k in r["sources"]], dtype=np.int64)
+        sources = np.array(r["sources"], dtype=np.int64)
         first = np.cumsum(sizes) - sizes
         wide = len(r["ids"]) // max(1, int(sizes.sum()))
         ids = np.frombuffer(r["ids"], dtype="<u2" if wide == 2 else "<u4").astype("<u4")
-        begin = np.zeros(len(t), dtype=np.int64)
-        for x in r["starts"]:
-            begin[x["queue"]] = x["start"]
-        place = np.zeros(len(sizes), dtype=np.int64)  # of each document in its queue
-        end = begin.copy()
-        for q in np.unique(queue):
-            at = np.flatnonzero(queue == q)
-            place[at] = begin[q] + np.cumsum(sizes[at]) - sizes[at]
-            end[q] = begin[q] + sizes[at].sum()
-        seqs, counts = _windows(begin, end, length, w, t)
+        start = {x["at"]: x["start"] for x in r["starts"]}
+        runs: dict[int, list[tuple[int, int]]] = {}
+        for x in r["runs"] or ():
+            runs.setdefault(x["at"], []).append((x["run"], x["place"]))
+        # stretches of documents that are whole in their queue: the document, where in it, where in the queue, how long
+        stretches: dict[int, list[list[np.ndarray]]] = {}
+        for k in np.unique(sources).tolist():
+            docs = np.flatnonzero(sources == k)
+            begins = start[k] + np.cumsum(sizes[docs]) - sizes[docs]
+            end = start[k] + int(sizes[docs].sum())
+            q = order.get(r["totals"][k]["source"], common)
+            if q == common:
+                number, at = np.array(sorted(runs[k]), dtype=np.int64).T
+                x = np.unique(np.concatenate([begins, number[1:] * run]))
+                of = np.searchsorted(number, x // run)
+                in_queue = at[of] + x - number[of] * run
+            else:
+                x = in_queue = begins
+            doc = np.searchsorted(begins, x, side="right") - 1
+            stretches.setdefault(q, []).append([docs[doc], x - begins[doc], in_queue, np.diff(np.append(x, end))])
+        mine = {q: [np.concatenate(c) for c in zip(*parts, strict=True)] for q, parts in sorted(stretches.items())}
+        queue = np.concatenate([np.full(len(c[0]), q) for q, c in mine.items()])
+        low = np.concatenate([c[2] for c in mine.values()])
+        seqs, counts = _windows(queue, low, low + np.concatenate([c[3] for c in mine.values()]), length, w, t, bend)
         before, after = counts[: len(seqs)], counts[len(seqs) :]
         inside = np.cumsum(after - before, axis=1) - (after - before)  # where each queue's turn begins
         cols: list[list[np.ndarray]] = []
-        for q in np.unique(queue):
-            at = np.flatnonzero(queue == q)
-            cuts = np.unique(np.concatenate([place[at], before[:, q], after[:, q], [end[q]]]))
-            cuts = cuts[(cuts >= begin[q]) & (cuts <= end[q])]
-            x, size = cuts[:-1], np.diff(cuts)
-            doc = at[np.searchsorted(place[at], x, side="right") - 1]
-            seq = np.searchsorted(before[:, q], x, side="right") - 1
-            cols.append([doc, x - place[doc], size, seqs[seq], inside[seq, q] + x - before[seq, q]])
+        for q, (doc, into, place, size) in mine.items():
+            by = np.argsort(place, kind="stable")
+            doc, into, place, size = doc[by], into[by], place[by], size[by]
+            cuts = np.unique(np.concatenate([place, before[:, q], after[:, q]]))
+            of = np.searchsorted(place, cuts, side="right") - 1
+            cuts, of = cuts[(of >= 0) & (cuts < place[of] + size[of])], of[(of >= 0) & (cuts < place[of] + size[of])]
+            end = place[of] + size[of]
+            end[:-1] = np.minimum(end[:-1], cuts[1:])
+            seq = np.searchsorted(before[:, q], cuts, side="right") - 1
+            cols.append([doc[of], into[of] + cuts - place[of], end - cuts, seqs[seq], inside[seq, q] + cuts - before[seq, q]])
         doc, start, size, seq, offset = (np.concatenate(c) for c in zip(*cols, strict=True))
         view = memoryview(ids).cast("B")
         at = first[doc] + start
@@ -233,33 +274,69 @@ def _cut(names: list[str], weights: list[float], tokens: list[int], length: int,
 def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, target: dict[str, float] | None = None, with_ids: bool = False) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` (and the ``ids``).
 
-    ``target`` gives sources weights other than their token counts; sources it leaves out share the common queue.
-    When a queue is empty, the others go on in their proportions.
+    ``target`` gives sources weights other than their token counts; those it leaves out share what is left of 1 by their
+    token counts. When a source is empty, the others go on in their proportions.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("source").cast("string").alias("source"))
     chunks = written(rows.mapInArrow(_tokenized(tokenizer), _CHUNK), "tokens")
-    per_source = chunks.select("chunk", F.inline("totals")).groupBy("source").agg(F.sum("tokens").alias("tokens"))
-    total = per_source.agg(F.sum("tokens")).first()[0] or 0
+    per_source = written(chunks.select(F.inline("totals")).groupBy("source").agg(F.sum("tokens").alias("all")), "source-tokens")
+    total = per_source.agg(F.sum("all")).first()[0] or 0
+    if not total:
+        return spark.createDataFrame([], _PIECE + ", ids binary" * with_ids)
     if target is None:
-        own = per_source.where(F.col("tokens") >= total * OWN_QUEUE)
+        weighted = per_source.withColumn("weight", F.col("all").cast("double"))
+        own = {r["source"]: (r["weight"], r["all"]) for r in weighted.where(F.col("all") >= total * OWN_QUEUE).collect()}  # 64 at most
+        left = total - sum(n for _, n in own.values())
+        common = [(float(left), left)] if left else []
     else:
-        if len(target) > 1 / OWN_QUEUE:
-            raise ValueError("give at most 64 sources a weight of their own")
-        own = per_source.where(F.col("source").isin(list(target)))
-    queues = sorted((r["source"], r["tokens"]) for r in own.collect())  # 64 at most
-    names = [s for s, _ in queues]
-    tokens = [n for _, n in queues] + [total - sum(n for _, n in queues)]
-    weights = [max(float(n), 1.0) for n in tokens] if target is None else [float(target[s]) for s in names] + [max(1e-9, 1 - sum(target.values()))]
-    # where each chunk's documents begin in each queue: sums over tasks, then over a task's chunks
-    queue = F.coalesce(F.element_at(F.create_map(*[x for i, s in enumerate(names) for x in (F.lit(s), F.lit(i))]), F.col("source")), F.lit(len(names))) if names else F.lit(0)
-    each = chunks.select("chunk", F.inline("totals")).select("chunk", F.shiftright("chunk", 32).alias("task"), queue.alias("queue"), "tokens")
-    each = each.groupBy("queue", "task", "chunk").agg(F.sum("tokens").alias("tokens"))
-    tasks = each.groupBy("queue", "task").agg(F.sum("tokens").alias("all"))
-    tasks = tasks.withColumn("base", F.sum("all").over(Window.partitionBy("queue").orderBy("task")) - F.col("all")).drop("all")
-    inner = F.sum("tokens").over(Window.partitionBy("queue", "task").orderBy("chunk")) - F.col("tokens")
-    starts = each.withColumn("inner", inner).join(tasks, ["queue", "task"])
-    starts = starts.groupBy("chunk").agg(F.collect_list(F.struct("queue", (F.col("base") + F.col("inner")).alias("start"))).alias("starts"))
-    placed = chunks.join(written(starts, "starts"), "chunk")
+        wanted = spark.createDataFrame([(s, max(float(w), 1e-9)) for s, w in target.items()], "source string, wanted double")
+        weighted = per_source.join(wanted, "source", "left")
+        known = {r["source"]: (r["wanted"], r["all"]) for r in weighted.where("wanted is not null").collect()}  # as many as the target has
+        left, rest = total - sum(n for _, n in known.values()), max(1e-9, 1 - sum(target.values()))
+        least = OWN_QUEUE * (sum(w for w, _ in known.values()) + (rest if left else 0))
+        own = {s: x for s, x in known.items() if x[0] >= least}
+        common = [x for s, x in known.items() if s not in own] + ([(rest, left)] if left else [])
+        weighted = weighted.withColumn("weight", F.coalesce("wanted", F.lit(rest) * F.col("all") / F.lit(max(left, 1)))).drop("wanted")
+    names = sorted(own)
+    tokens = [own[s][1] for s in names] + [sum(n for _, n in common)]
+    weights = [own[s][0] for s in names] + [sum(w for w, _ in common) or 1.0]
+    # where each chunk's documents begin in their sources: sums over tasks, then over a task's chunks
+    each = chunks.select("chunk", F.posexplode("totals").alias("at", "t")).select("chunk", F.shiftright("chunk", 32).alias("task"), "at", "t.source", "t.tokens")
+    tasks = each.groupBy("source", "task").agg(F.sum("tokens").alias("sum"))
+    tasks = tasks.withColumn("base", F.sum("sum").over(Window.partitionBy("source").orderBy("task")) - F.col("sum")).drop("sum")
+    inner = F.sum("tokens").over(Window.partitionBy("source", "task").orderBy("chunk")) - F.col("tokens")
+    starts = each.withColumn("inner", inner).join(tasks, ["source", "task"])
+    starts = written(starts.select("chunk", "at", "source", "tokens", (F.col("base") + F.col("inner")).alias("start")), "starts")
+    placed = chunks.join(starts.groupBy("chunk").agg(F.collect_list(F.struct("at", "start")).alias("starts")), "chunk")
+    run = max(1, int(length * OWN_QUEUE))
+    if common:
+        small = starts.join(weighted.where(~F.col("source").isin(names)) if names else weighted, "source")
+        runs = _runs(small, run, -(-tokens[-1] // SPAN))
+        placed = placed.join(runs.groupBy("chunk").agg(F.collect_list(F.struct("at", "run", "place")).alias("runs")), "chunk", "left")
+    else:
+        placed = placed.withColumn("runs", F.lit(None))
+    cut = _cut(names, weights, tokens, bend_of([w for w, _ in common], [n for _, n in common]), run, length, with_ids)
     # the order of fields is what to_pylist() hands over; nothing else depends on it
-    return placed.mapInArrow(_cut(names, weights, tokens, length, with_ids), _PIECE + ", ids binary" * with_ids) if total else spark.createDataFrame([], _PIECE + ", ids binary" * with_ids)
+    return placed.mapInArrow(cut, _PIECE + ", ids binary" * with_ids)
+
+
+def _runs(small: DataFrame, run: int, parts: int) -> DataFrame:
+    """``chunk, at, run, place``: where in the common queue the runs begin that a chunk's tokens of a source are in.
+
+    A run is due when a part of it is, which is the source's own part, so sources of few tokens are spread over the whole time.
+    The chunk that has a run's first token counts it; others that have some of it sort behind.
+    """
+    numbers = F.explode(F.sequence(F.floor(F.col("start") / run), F.floor((F.col("start") + F.col("tokens") - 1) / run)))
+    runs = small.select("chunk", "at", "source", "start", "all", "weight", numbers.alias("run"))
+    phase = (F.pmod(F.xxhash64("source"), F.lit(1 << 20)) + 0.5) / (1 << 20)
+    runs = runs.withColumn("size", F.least(F.lit(run).cast("long"), F.col("all") - F.col("run") * run))
+    due = 2 * (F.col("run") * run + phase * F.col("size")) / F.col("weight")
+    runs = runs.select("chunk", "at", "source", "run", "size", due.alias("due"), (F.col("run") * run < F.col("start")).alias("later"))
+    runs = written(runs.repartitionByRange(parts, "due", "source", "run").withColumn("part", F.spark_partition_id()), "runs")
+    sums = runs.where("not later").groupBy("part").agg(F.sum("size").alias("sum"))
+    bases = sums.select("part", (F.sum("sum").over(Window.orderBy("part")) - F.col("sum")).alias("base"))  # a row for each task
+    upto = Window.partitionBy("part").orderBy("due", "source", "run", "later").rowsBetween(Window.unboundedPreceding, 0)
+    counted = F.sum(F.when(F.col("later"), 0).otherwise(F.col("size"))).over(upto)
+    placed = runs.withColumn("upto", counted).join(bases, "part")
+    return written(placed.select("chunk", "at", "run", (F.col("base") + F.col("upto") - F.col("size")).alias("place")), "places")

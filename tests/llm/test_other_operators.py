@@ -338,6 +338,42 @@ def test_packing_towards_a_target(spark):
         assert abs(sum(p["length"] for p in by_seq[k] if sources[p["doc_id"]] == "a") - 75) <= 1
 
 
+@pytest.mark.parametrize("chunk", [1 << 20, 300])
+def test_many_small_sources_are_mixed(spark, monkeypatch, chunk):
+    """Each of 70 sources, none with 1/64 of the tokens, has its share in every window, to within a run at either end."""
+    monkeypatch.setattr(packing, "CHUNK", chunk)
+    monkeypatch.setattr(packing, "SPAN", 1500, raising=False)
+    texts = [" ".join(["alpha", "beta"] * (20 + i % 3)) for i in range(350)]
+    sources = [f"s{i // 5}" for i in range(350)]
+    length = 512  # runs of 8
+    by_seq = check_packing(packing.pack(frame(spark, texts, sources=sources), queries.vocabulary_path(), length).collect(), texts, length)
+    sizes = [len(x) for x in encoded(texts)]
+    for s in set(sources):
+        share = sum(n for n, x in zip(sizes, sources) if x == s) / sum(sizes)
+        had = 0
+        for k in range(len(by_seq)):
+            had += sum(p["length"] for p in by_seq[k] if sources[p["doc_id"]] == s)
+            assert abs(had - share * min((k + 1) * length, sum(sizes))) <= 10
+
+
+def test_a_target_for_many_sources(spark):
+    """Weights for 80 sources are held, and an exhausted one's share goes to all others in their proportions."""
+    texts = ["alpha beta " * 50] * 200
+    sources = [*["big"] * 120, *[f"s{k}" for k in range(79)], "s0"]
+    target = {"big": 0.5, "s0": 0.11, **{f"s{k}": 0.005 for k in range(1, 79)}}
+    pieces = packing.pack(frame(spark, texts, sources=sources), queries.vocabulary_path(), 256, target=target).collect()
+    by_seq = check_packing(pieces, texts, 256)
+    got = lambda s, k: sum(p["length"] for j in range(k) for p in by_seq[j] if sources[p["doc_id"]] == s)
+    n = len(encoded(texts[:1])[0])
+    early = int(2 * n / 0.11 // 256)  # s0 is used up
+    assert abs(got("big", early) - early * 128) <= 2 and abs(got("s0", early) - 0.11 * early * 256) <= 2
+    assert all(abs(got(f"s{k}", early) - 0.005 * early * 256) <= 6 for k in range(1, 79))
+    late = early + 10
+    big = got("big", late)
+    assert big > late * 128 + 60
+    assert all(abs(got(f"s{k}", late) - big / 100) <= 6 for k in range(1, 79))
+
+
 def test_emitted_is_monotone_and_exact():
     tokens = np.array([1000, 7, 350, 1])
     got = packing.emitted(np.arange(0, 1400), tokens.astype(float), tokens)
