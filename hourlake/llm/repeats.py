@@ -163,7 +163,7 @@ def shared_anchors(docs: DataFrame, unit: Unit, between_ids: bool, hot: int) ->
     """
     each = docs.select("_id", F.col("_row").bitwiseAND(F.lit(ROW_KEY)).alias("_row"), "text").mapInArrow(_anchors(unit), "_row long, _id long, anchor long, n long")
     if between_ids:
-        known = each.groupBy("anchor").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo < hi")
+        known = each.groupBy("anchor").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi"), F.sum("n").alias("n")).where("lo < hi")
     else:
         known = each.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1")
     known = known.select("anchor", (F.col("n") > hot).alias("is_hot"))

@@ -9,7 +9,7 @@ import re
 import numpy as np
 import pytest
 
-from hourlake.llm import line_dedup, substring_dedup, suffix_array_dedup
+from hourlake.llm import common, line_dedup, repeats, substring_dedup, suffix_array_dedup
 from hourlake.llm.rolling import sliding_min, words
 
 DDL = "doc_id long, text string, lang string, source string, n_chars long, n_lines long, _row string"
@@ -98,6 +98,14 @@ def test_automata_equal_brute_force(spark, size, hot, states):
     assert got(df, "n_words", "n_removed", "kept_sha256") == want
 
 
+def test_anchors_of_many_snippets_in_few_documents_are_hot(spark):
+    rng = random.Random(8)
+    texts = [" ".join(f"the same four words u{rng.randrange(10**9)}" for _ in range(60)) for _ in range(2)]
+    unit = repeats.Unit(words=True, size=5, gram=4, longest=32)
+    rows = repeats.shared_anchors(common.keyed(frame(spark, texts)), unit, between_ids=True, hot=10).collect()
+    assert len(rows) == 2 and all(len(r["hot"]) == 1 for r in rows)
+
+
 def test_passages_are_removed_and_the_first_copy_stays(spark):
     rng = random.Random(5)
     shared = " ".join(f"p{rng.randrange(10**6)}" for _ in range(60))
