@@ -8,7 +8,21 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourlake.llm import decontaminate, line_dedup, maxent_lm, packing, quality_rules, simhash, substring_dedup, suffix_array_dedup, toxicity, url_filter
+from hourlake.llm import (
+    centroid_clustering,
+    decontaminate,
+    jaccard_join,
+    line_dedup,
+    maxent_lm,
+    packing,
+    prefix_trie,
+    quality_rules,
+    simhash,
+    substring_dedup,
+    suffix_array_dedup,
+    toxicity,
+    url_filter,
+)
 from hourlake.session import pin_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,3 +106,18 @@ def op9_maxent_lm(spark, sf_dir):
 @query
 def op10_line_dedup(spark, sf_dir):
     return line_dedup.line_dedup_report(table(spark, sf_dir, "documents"), least_docs=10, least_chars=1)
+
+
+@query
+def op11_centroid_clustering(spark, sf_dir):
+    return centroid_clustering.clustered(table(spark, sf_dir, "embeddings"), k=8, rounds=10, dims=64, scale=1024, seed=3)
+
+
+@query
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), size=3, numerator=90, denominator=100)

@@ -102,3 +102,109 @@ WITH d AS (
 SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
 """
+
+
+def _clustering(k: int = 8, rounds: int = 10, dims: int = 64) -> str:
+    """Lloyd's rounds written out one after the other, over one row per component."""
+    parts = [
+        f"""v AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x::DOUBLE))) = {dims}
+)""",
+        f"""e AS MATERIALIZED (
+  SELECT vec_id, unnest(x) AS x, unnest(range({dims})) AS d FROM v
+)""",
+        f"""s AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c FROM v QUALIFY c < {k}
+)""",
+        """c0 AS MATERIALIZED (
+  SELECT c, d, x AS m FROM s JOIN e USING (vec_id)
+)""",
+    ]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (
+  SELECT vec_id, c, distance FROM (
+    SELECT vec_id, c, sum((x - m) * (x - m))::BIGINT AS distance FROM e JOIN c{i} USING (d) GROUP BY vec_id, c)
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, c) = 1
+)""")
+        if i < rounds:
+            parts.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT c, d, coalesce(n, m) AS m FROM c{i} LEFT JOIN (
+    SELECT c, d, (sum(x)::BIGINT - ((sum(x)::BIGINT % count(*)) + count(*)) % count(*)) // count(*) AS n
+    FROM e JOIN a{i} USING (vec_id) GROUP BY c, d) USING (c, d)
+)""")
+    return "WITH " + ", ".join(parts) + f"""
+SELECT vec_id, c::INTEGER AS cluster, distance, sum(distance) OVER (PARTITION BY c)::BIGINT AS cluster_inertia, sum(distance) OVER ()::BIGINT AS inertia, h AS centroid_sha256
+FROM a{rounds} JOIN (SELECT c, sha256(string_agg(m::VARCHAR, ',' ORDER BY d)) AS h FROM c{rounds} GROUP BY c) USING (c)
+"""
+
+
+SQL["op11_centroid_clustering"] = _clustering()
+
+# CRC-32 by the table method: 256 remainders, then one step for each digit
+SQL["op12_prefix_trie"] = """
+WITH RECURSIVE bits AS (
+  SELECT i AS byte, i AS crc, 0 AS n FROM range(256) r(i)
+  UNION ALL
+  SELECT byte, CASE WHEN crc % 2 = 1 THEN xor(crc // 2, 3988292384) ELSE crc // 2 END, n + 1 FROM bits WHERE n < 8
+), steps AS MATERIALIZED (
+  SELECT byte, crc AS step FROM bits WHERE n = 8
+), crc AS (
+  SELECT conv_id, conv_id::VARCHAR AS digits, 4294967295::BIGINT AS crc, 0 AS n FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)
+  UNION ALL
+  SELECT conv_id, digits, xor(crc // 256, step), n + 1 FROM crc JOIN steps ON byte = xor(crc % 256, ascii(substr(digits, n + 1, 1)))
+  WHERE n < length(digits)
+), c AS MATERIALIZED (
+  SELECT conv_id, xor(crc, 4294967295) % 6 AS h, conv_id - conv_id % 100 AS first FROM crc WHERE n = length(digits)
+), t AS MATERIALIZED (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i,
+         md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k, length(coalesce(text, '')) AS chars
+  FROM conversations WHERE conv_id IS NOT NULL
+), r AS MATERIALIZED (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY own, i) AS depth, k, chars FROM (
+    SELECT c.conv_id, 0 AS own, i, k, chars FROM c JOIN t ON t.conv_id = c.first WHERE i <= h
+    UNION ALL
+    SELECT c.conv_id, 1, i, k, chars FROM c JOIN t ON t.conv_id = c.conv_id WHERE i > h)
+), m AS MATERIALIZED (
+  SELECT conv_id, depth, chars, md5(string_agg(k, '') OVER (PARTITION BY conv_id ORDER BY depth)) AS node FROM r
+  UNION ALL SELECT conv_id, 0, 0, '' FROM c
+), up AS MATERIALIZED (
+  SELECT m.*, p.node AS parent FROM m LEFT JOIN m p ON p.conv_id = m.conv_id AND p.depth = m.depth - 1
+), n AS MATERIALIZED (
+  SELECT node, min(depth) AS depth, min(conv_id) AS conv_id, min(parent) AS parent, count(*) AS n_convs, (count(*) - 1) * min(chars) AS saved FROM up GROUP BY node
+), kids AS (
+  SELECT parent AS node, count(*) AS n_children FROM n WHERE parent IS NOT NULL GROUP BY parent
+), x AS MATERIALIZED (
+  SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN kids USING (node)
+), below AS (
+  SELECT node, sum(saved)::BIGINT AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves FROM (
+    SELECT DISTINCT a.node, x.node AS other, saved, n_children FROM m a JOIN m b ON a.conv_id = b.conv_id AND b.depth >= a.depth JOIN x ON x.node = b.node)
+  GROUP BY node
+), last AS (
+  SELECT node, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM (SELECT * FROM m QUALIFY depth = max(depth) OVER (PARTITION BY conv_id)) GROUP BY node
+)
+SELECT x.conv_id, x.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, x.n_convs, x.n_children, n_leaves, saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM x JOIN below USING (node) LEFT JOIN x p ON p.node = x.parent LEFT JOIN last USING (node)
+"""
+
+SQL["op13_jaccard_join"] = rf"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT doc_id, {_WORDS.format(_LOWER.format("coalesce(text, '')"))} AS w FROM documents
+), s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, md5(array_to_string(w[i:i + 2], ' ')) AS k
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM d WHERE len(w) > 0)
+), n AS MATERIALIZED (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), o AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.k = b.k AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS MATERIALIZED (
+  SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 90 * (x.n + y.n - o)
+), reach AS (
+  SELECT a, b FROM links
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+), least AS (
+  SELECT a AS doc_id, min(b) AS b FROM reach GROUP BY a
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(b, doc_id)) AS component_id FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)
+"""
