@@ -1,47 +1,63 @@
-"""Which keys a table may hold: bitmaps over hashed keys, small enough to be sent to every task.
+"""Which keys a table may hold: Bloom bitmaps over hashed keys, built and asked by built-in functions only.
 
-A bitmap says "surely not" or "maybe" about a key. It has one bit in ``BITS_PER_KEY`` set for each key, but never more
-than ``MOST_BITS`` bits in all, so its size is bounded whatever the table: beyond that size
-it fills up and lets more keys pass, which costs work and never a result. Built and asked by built-in functions only.
+A bitmap says "surely not" or "maybe" about a key. It is a table of 64-bit words; a key has one word, in which it sets
+``MARKS`` bits, so a question is one equi join on the word's number. With ``BITS_PER_KEY`` bits for each key a
+few in ten thousand other keys pass by chance, which costs work and never a result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: Room for each key; about one in so many other keys passes by chance.
-BITS_PER_KEY = 16
-#: Bits of the largest bitmap: 2^21 rows of 64 bits.
-MOST_BITS = 1 << 27
+#: Room for each key, and bits that a key sets.
+BITS_PER_KEY = 32
+MARKS = 5
+#: Words of the largest bitmap that is broadcast (32 MB); it fills up beyond some 4 million keys and lets more pass.
+MOST_WORDS = 1 << 21
 
 
-def bitmap_size(keys: int) -> int:
-    """Bits for so many keys, a power of two."""
-    return min(MOST_BITS, max(64, 1 << (max(1, keys) * BITS_PER_KEY - 1).bit_length()))
+def words_for(keys: int, most: int | None = MOST_WORDS) -> int:
+    """Words for so many keys, a power of two."""
+    need = 1 << (max(1, -(-keys * BITS_PER_KEY // 64)) - 1).bit_length()
+    return need if most is None else min(most, need)
 
 
-def _place(keys: list[Column | str], bits: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(bits))
+def word_of(keys: Sequence[str], words: Column) -> Column:
+    return F.pmod(F.xxhash64(*keys), words.cast("long"))
 
 
-def bitmap(df: DataFrame, keys: list[Column | str], bits: int, by: tuple[str, ...] = ()) -> DataFrame:
-    """``by…, word, bits``: the set bits of the rows' keys, 64 to a row, for each value of ``by``."""
-    at = df.select(*by, _place(keys, bits).alias("_at"))
-    one = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("_at") % 64).cast("int"))
-    return at.groupBy(*by, F.floor(F.col("_at") / 64).alias("word")).agg(F.bit_or(one).alias("bits"))
+def marks_of(keys: Sequence[str]) -> Column:
+    """The bits that a key sets in its word; null keys count as keys."""
+    spread = F.xxhash64(F.lit(1), *keys)
+    one = lambda i: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(spread, 6 * i).bitwiseAND(F.lit(63)).cast("int"))
+    return reduce(lambda a, b: a.bitwiseOR(b), [one(i) for i in range(MARKS)])
 
 
-def maybe_in(keys: list[Column | str], bits: int) -> Column:
-    """Join condition between a row's keys and ``word, bits`` of a bitmap of this size."""
-    at = _place(keys, bits)
-    hit = F.call_function("shiftright", F.col("bits"), (at % 64).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
-    return (F.floor(at / 64) == F.col("word")) & hit
+def bitmap(df: DataFrame, keys: Sequence[str], words: Column, by: Sequence[str] = ()) -> DataFrame:
+    """``by…, words, word, bits``: the words of the rows' keys, apart for each value of ``by`` (on which ``words`` may depend)."""
+    at = df.select(*by, words.cast("long").alias("words"), word_of(keys, words).alias("word"), marks_of(keys).alias("bits"))
+    return at.groupBy(*by, "words", "word").agg(F.bit_or("bits").alias("bits"))
 
 
-def maybe_known(df: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
+def maybe_known(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose keys ``known`` may hold; those that it holds are never lost.
 
-    ``known`` is read twice, so it should be a written table. The bitmap is bounded and therefore broadcast.
+    ``known`` is read twice, so it should be a written table. The bitmap's size is bounded, therefore it is broadcast.
+    """
+    words = F.lit(words_for(known.count()))
+    held = bitmap(known, keys, words).select("word", "bits")
+    marks = marks_of(keys)
+    return df.join(F.broadcast(held), (word_of(keys, words) == F.col("word")) & (F.col("bits").bitwiseAND(marks) == marks), "left_semi")
+
+
+def holders(index: DataFrame, sizes: Sequence[int], asked: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
+    """Distinct values of ``by`` whose bitmap in ``index`` may hold one of the keys in ``asked``.
+
+    ``sizes``: the values of ``words`` that occur in the index (powers of two, so there are few).
     """
-    bits = bitmap_size(known.count())
-    return df.join(F.broadcast(bitmap(known, list(keys), bits)), maybe_in(list(keys), bits), "left_semi")
+    each = asked.select(*keys, F.explode(F.array(*[F.lit(s).cast("long") for s in sizes])).alias("_words"))
+    each = each.select(F.col("_words").alias("words"), word_of(keys, F.col("_words")).alias("word"), marks_of(keys).alias("_marks")).distinct()
+    return index.join(each, ["words", "word"]).where(F.col("bits").bitwiseAND(F.col("_marks")) == F.col("_marks")).select(by).distinct()

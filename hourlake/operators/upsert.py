@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hourlake.functions.time import ntz
-from hourlake.sources.files import read_or_empty, remove_folders
+from hourlake.operators.membership import holders
+from hourlake.sources.manifest import current, folder_name, key_index, publish_partitions
 from hourlake.sources.scratch import written
 
 
@@ -54,56 +55,50 @@ def upsert_table(
     schema,
     before_write: Callable[[list], None] | None = None,
 ) -> list:
-    """Upsert into a Parquet table partitioned by ``partition``; returns the rewritten partitions.
+    """Upsert into a table with a manifest, partitioned by ``partition``; returns the rewritten partitions.
 
     Only partitions that receive rows, or hold the old version of an updated key, are rewritten: a
-    correction that moves a row to another partition rewrites both. Old versions are looked for in
-    all partitions, but only between the least and the greatest updated key: files whose statistics
-    lie outside are skipped, so keys that grow with time keep the search to recent files.
-    ``before_write`` is told which partitions are about to change.
+    correction that moves a row to another partition rewrites both. Old versions are looked for only where
+    the table's key index says that one of the updated keys may be; other partitions are not read. All
+    partitions change at once. ``before_write`` is told which partitions are about to change.
 
     Applying the same updates again changes nothing.
     """
     updates = written(updates, "upsert-in")
-    target = read_or_empty(spark, path, schema)
-    searched = target
-    ends = updates.agg(*[f(k) for k in keys for f in (F.min, F.max)]).first()
-    for k, low, high in zip(keys, ends[::2], ends[1::2], strict=True):
-        if low is not None:
-            searched = searched.filter(F.col(k).between(F.lit(low), F.lit(high)))
-    hit = searched.join(updates.select(*keys), list(keys), "left_semi").select(partition)
+    given = updates.select(partition).distinct()
+    found = may_hold(spark, path, updates, keys, partition)
+    target = current(spark, path, schema, only=[folder_name(spark, partition, v) for v in found])
+    hit = target.join(updates.select(*keys), list(keys), "left_semi").select(partition)
     # One value per touched partition (calendar dates here), not per row.
-    touched = [r[0] for r in updates.select(partition).unionByName(hit).distinct().collect()]
+    touched = [r[0] for r in given.unionByName(hit).distinct().collect()]
     if not touched:
         return []
     if before_write is not None:
         before_write(touched)
-    kept = target.filter(F.col(partition).isin(touched)).join(
-        updates.select(*keys), list(keys), "left_anti"
-    )
-    replace_partitions(kept.unionByName(updates.select(*kept.columns)), path, partition, touched)
-    return sorted(touched)
+    target = current(spark, path, schema, only=[folder_name(spark, partition, v) for v in touched])
+    kept = target.join(updates.select(*keys), list(keys), "left_anti")
+    publish_partitions(kept.unionByName(updates.select(*kept.columns)), path, partition, touched, keys)
+    return sorted(touched, key=lambda v: (v is not None, v))
 
 
-def replace_partitions(rows: DataFrame, path: str, partition: str, values: list) -> None:
-    """Make ``rows`` the whole content of the listed partitions; no other partition is touched.
+def may_hold(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str], partition: str) -> list:
+    """Values of ``partition`` where one of the updated keys may be stored, by the table's key index alone.
 
-    ``rows`` may be computed from the table itself: dynamic overwrite swaps the partition folders
-    only after every task has finished, so a lost executor costs a recomputation and nothing else.
-    Partitions that get no row are removed, because the overwrite would leave them alone.
+    Partitions that were published without an index are always among them.
     """
-    spark = rows.sparkSession
-    by_time = [c for c in ("created_at",) if c in rows.columns]
-    seen = Observation()
-    # Rebalancing gives files of even size: small partitions share a task, a huge one is split.
-    (
-        rows.hint("rebalance", partition)
-        .observe(seen, F.collect_set(partition).alias("filled"))
-        .sortWithinPartitions(partition, *by_time)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd")
-        .partitionBy(partition)
-        .parquet(path)
-    )
-    remove_folders(spark, [f"{path}/{partition}={v}" for v in set(values) - set(seen.get["filled"])])
+    kind = updates.schema[partition].dataType.simpleString()
+    index, sizes, unknown = key_index(spark, path, partition, kind)
+    values = [r[0] for r in holders(index, sizes, updates, keys, partition).collect()] if sizes else []
+    if unknown:
+        plain = {folder_name(spark, partition, v): v for v in _values(current(spark, path, updates.select(partition).schema, only=unknown), partition)}
+        values += [plain[f] for f in unknown if f in plain]
+    return values
+
+
+def _values(rows: DataFrame, partition: str) -> list:
+    return [r[0] for r in rows.select(partition).distinct().collect()]
+
+
+def replace_partitions(rows: DataFrame, path: str, partition: str, values: list) -> None:
+    """Make ``rows`` the whole content of the listed partitions, all at once; no other partition is touched."""
+    publish_partitions(rows, path, partition, values)

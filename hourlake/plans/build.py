@@ -19,6 +19,7 @@ from hourlake.schemas import DIM_ACTOR, DIM_REPO, FACT_EVENTS, LEDGER
 from hourlake.session import pin_utc
 from hourlake.sources.bronze import read_bronze
 from hourlake.sources.files import read_or_empty
+from hourlake.sources.manifest import current, drop_unreferenced
 from hourlake.sources.scratch import written
 from hourlake.sources.tables import append, drop_old_versions, publish, published, versions as versions_of
 
@@ -77,6 +78,8 @@ class LakePaths:
 #: Tables that every build publishes anew.
 SILVER = ("stg_events", "stg_repos", "stg_actors", "pr_lifecycle")
 REBUILT = ("dim_date", "dim_event_type", "dim_actor", "dim_repo", "opened_prs", "mart_pr_lifecycle", "mart_pipeline_health")
+#: Tables of which only touched days are written anew.
+CHANGED = ("fact_events", "mart_daily_repo_activity", "mart_hourly_volume")
 
 
 def _version(spark: SparkSession, path: str, number: int | None, schema) -> DataFrame:
@@ -137,7 +140,7 @@ def build(
     new = unconsumed(events, ledger)
     taken = written(batches(new), "batches")
     if last:
-        stored = read_or_empty(spark, paths.gold("fact_events"), FACT_EVENTS)
+        stored = current(spark, paths.gold("fact_events"), FACT_EVENTS)
         again = gold.outdated(events, stored, known_versions, t["dim_repo"], known_opened, opened)
         ids = new.select("event_id").union(again).distinct()
         new = written(events.join(ids, "event_id", "left_semi"), "to-build")
@@ -150,7 +153,7 @@ def build(
     noted = read_or_empty(spark, paths.dirty_days, DIRTY).filter(F.col("build") == number)
     days = sorted(r[0] for r in noted.select("date_key").distinct().collect())
 
-    fact = t["fact_events"] = read_or_empty(spark, paths.gold("fact_events"), FACT_EVENTS)
+    fact = t["fact_events"] = current(spark, paths.gold("fact_events"), FACT_EVENTS)
     changed = fact.filter(F.col("date_key").isin(days))
     activity, volume = paths.gold("mart_daily_repo_activity"), paths.gold("mart_hourly_volume")
     if days:
@@ -160,8 +163,8 @@ def build(
         replace_partitions(marts.hourly_volume(changed), volume, "date_key", days)
     # Only now: a run that dies before this line takes the same batches again, with the same result.
     append(taken.coalesce(1), paths.ledger)
-    t["mart_daily_repo_activity"] = read_or_empty(spark, activity, ACTIVITY)
-    t["mart_hourly_volume"] = read_or_empty(spark, volume, VOLUME)
+    t["mart_daily_repo_activity"] = current(spark, activity, ACTIVITY)
+    t["mart_hourly_volume"] = current(spark, volume, VOLUME)
     t["mart_pr_lifecycle"] = _publish(marts.pr_lifecycle_mart(fact), paths.gold("mart_pr_lifecycle"))
     health = pipeline_health(t["pipeline_runs"], fact, now)
     t["mart_pipeline_health"] = _publish(health, paths.gold("mart_pipeline_health"))
@@ -172,5 +175,7 @@ def build(
     append(spark.createDataFrame([state], BUILDS).coalesce(1), paths.builds)
     for path in [paths.silver(n) for n in SILVER] + [paths.gold(n) for n in REBUILT]:
         drop_old_versions(spark, path, keep_versions)
+    for path in [paths.gold(n) for n in CHANGED]:
+        drop_unreferenced(spark, path, keep_versions)
     raise_on_failure(outcomes)
     return t

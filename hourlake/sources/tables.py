@@ -1,13 +1,12 @@
 """Table sinks and scans on plain Parquet folders.
 
-Two kinds of table:
+Three kinds of table:
 
 * *rebuilt* tables (silver, dimensions, marts): every publish writes a new ``v=<n>`` folder; the
   newest folder with a ``_SUCCESS`` marker is the table, so readers never see partial output and a
   table can be rebuilt from itself;
-* *appended* tables (run log, check results): ``append`` plus an occasional ``compact``.
-
-The incremental fact is partitioned and has its own writer in ``hourlake.operators.upsert``.
+* *appended* tables (run log, check results): ``append`` plus an occasional ``compact``;
+* *changed* tables (the fact, per-day marts): partitioned, see ``hourlake.sources.manifest``.
 """
 
 from __future__ import annotations

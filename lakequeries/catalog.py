@@ -23,6 +23,7 @@ from hourlake.schemas import BRONZE, FACT_EVENTS
 from hourlake.sources.bronze import partition_columns, read_bronze, write_bronze
 from hourlake.sources.files import footprint, list_files, read_or_empty
 from hourlake.sources.landing import HOUR_NAME, hour_name, hour_of_path, hour_path, hour_range, read_lines
+from hourlake.sources.manifest import current
 from hourlake.sources.scratch import scratch_path, written
 from hourlake.sources.seeds import event_types
 from hourlake.sources.tables import append, compacted, publish, published
@@ -529,7 +530,7 @@ def g09b_upsert_table(spark, sf):
     for part in (_before(ev, SPLIT, "ingested_at"), _from(ev, SPLIT, "ingested_at")):
         latest = latest_per_key(part, ["event_id"], ["ingested_at"])
         upsert_table(spark, path, latest, ["event_id"], "date_key", schema)
-    return read_or_empty(spark, path, schema)
+    return current(spark, path, schema)
 
 
 @query
@@ -557,7 +558,7 @@ def g10c_fact_late_batches(spark, sf):
             build(spark, lake, NOW, f"step{k}")
         except checks.ChecksFailed:
             pass  # the feed has merges before openings; the fact is complete nevertheless
-    return read_or_empty(spark, lake.gold("fact_events"), FACT_EVENTS)
+    return current(spark, lake.gold("fact_events"), FACT_EVENTS)
 
 
 @query
@@ -1004,14 +1005,14 @@ def t03_stream_upsert(spark, sf):
         part.write.mode("append").parquet(source)
         stream = spark.readStream.schema(rows.schema).parquet(source)
         upsert_stream(stream, path, checkpoint, rows.schema).awaitTermination()
-    return read_or_empty(spark, path, rows.schema)
+    return current(spark, path, rows.schema)
 
 
 @query
 def t04_stream_hourly_volume(spark, sf):
     path, checkpoint = scratch_path(spark, "volume"), scratch_path(spark, "cp")
     volume_to_table(_stream(spark, feed(spark, sf)), path, checkpoint).awaitTermination()
-    return read_or_empty(spark, path, "date_key int, event_hour bigint, event_count bigint")
+    return current(spark, path, "date_key int, event_hour bigint, event_count bigint")
 
 
 @query
@@ -1024,7 +1025,7 @@ def t05_late_data(spark, sf):
         part.write.mode("append").parquet(source)
         stream = spark.readStream.schema(rows.schema).parquet(source)
         volume_to_table(stream, path, checkpoint).awaitTermination()
-    streamed = read_or_empty(spark, path, "date_key int, event_hour bigint, event_count bigint")
+    streamed = current(spark, path, "date_key int, event_hour bigint, event_count bigint")
     full = _volume(spark, sf).withColumnRenamed("event_count", "recovered_count")
     return full.join(streamed, ["date_key", "event_hour"], "left").select(
         "date_key", "event_hour", F.col("event_count").alias("streamed_count"), "recovered_count"

@@ -147,9 +147,9 @@ def lake(spark, tmp_path_factory):
 
 def fact_of(spark, paths):
     from hourlake.schemas import FACT_EVENTS
-    from hourlake.sources.files import read_or_empty
+    from hourlake.sources.manifest import current
 
-    return read_or_empty(spark, paths.gold("fact_events"), FACT_EVENTS)
+    return current(spark, paths.gold("fact_events"), FACT_EVENTS)
 
 
 def test_steps_equal_one_rebuild(spark, lake):
@@ -165,13 +165,13 @@ def test_marts_follow_the_fact(spark, lake):
     paths, _, _ = lake
     from hourlake.operators.calendar import dim_date
     from hourlake.plans.build import ACTIVITY, VOLUME
-    from hourlake.sources.files import read_or_empty
+    from hourlake.sources.manifest import current
 
     fact = fact_of(spark, paths)
     want = marts.daily_repo_activity(fact, dim_date(spark), gold.dim_event_type(spark))
-    got = read_or_empty(spark, paths.gold("mart_daily_repo_activity"), ACTIVITY)
+    got = current(spark, paths.gold("mart_daily_repo_activity"), ACTIVITY)
     assert rows(got.select(*want.columns)) == rows(want)
-    volume = read_or_empty(spark, paths.gold("mart_hourly_volume"), VOLUME)
+    volume = current(spark, paths.gold("mart_hourly_volume"), VOLUME)
     assert rows(volume.select("event_hour", "event_count")) == rows(marts.hourly_volume(fact).select("event_hour", "event_count"))
 
 
@@ -261,7 +261,7 @@ def test_the_next_build_repairs_a_dead_one(spark, tmp_path, monkeypatch):
     from hourlake.operators.calendar import dim_date
     from hourlake.plans import build as module
     from hourlake.plans.build import ACTIVITY, VOLUME
-    from hourlake.sources.files import read_or_empty
+    from hourlake.sources.manifest import current
 
     class Dead(Exception):
         pass
@@ -288,10 +288,10 @@ def test_the_next_build_repairs_a_dead_one(spark, tmp_path, monkeypatch):
     _build(spark, paths, "repairs")
     fact = fact_of(spark, paths)
     assert rows(fact.select(*FACT_EVENTS.names)) == _whole(spark, paths)
-    volume = read_or_empty(spark, paths.gold("mart_hourly_volume"), VOLUME)
+    volume = current(spark, paths.gold("mart_hourly_volume"), VOLUME)
     assert rows(volume.select("event_hour", "event_count")) == rows(marts.hourly_volume(fact).select("event_hour", "event_count"))
     want = marts.daily_repo_activity(fact, dim_date(spark), gold.dim_event_type(spark))
-    assert rows(read_or_empty(spark, paths.gold("mart_daily_repo_activity"), ACTIVITY).select(*want.columns)) == rows(want)
+    assert rows(current(spark, paths.gold("mart_daily_repo_activity"), ACTIVITY).select(*want.columns)) == rows(want)
     assert len([n for n in os.listdir(paths.gold("dim_repo")) if n.startswith("v=")]) == 2
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from hourlake.functions import date_key
 from hourlake.plans import marts, silver
 from hourlake.sources.bronze import read_bronze
-from hourlake.sources.files import read_or_empty
+from hourlake.sources.manifest import current
 from hourlake.streaming import dedupe_stream, hourly_volume_stream, stream_to_bronze, upsert_stream, volume_to_table
 from hourlake.streaming.events import VOLUME_SCHEMA
 
@@ -78,7 +78,7 @@ def test_upsert_equals_batch(spark, tmp_path):
         for _ in range(2):
             stream = spark.readStream.schema(df.schema).parquet(source)
             upsert_stream(stream, table, cp, df.schema).awaitTermination()
-    got = read_or_empty(spark, table, df.schema).select("event_id", "created_at", "actor_login", "date_key")
+    got = current(spark, table, df.schema).select("event_id", "created_at", "actor_login", "date_key")
     want = silver.stg_events(bronze(spark, *all_rows)).withColumn("date_key", date_key("created_at"))
     assert rows(got) == rows(want.select("event_id", "created_at", "actor_login", "date_key"))
 
@@ -89,7 +89,7 @@ def test_volume_equals_batch_and_late_rows_are_dropped(spark, tmp_path):
     def run():
         stream = spark.readStream.schema(EVENT_COLUMNS).parquet(source)
         volume_to_table(stream, table, cp).awaitTermination()
-        return {(r["date_key"], r["event_hour"]): r["event_count"] for r in read_or_empty(spark, table, VOLUME_SCHEMA).collect()}
+        return {(r["date_key"], r["event_hour"]): r["event_count"] for r in current(spark, table, VOLUME_SCHEMA).collect()}
 
     first = [event(i, created_at=ts(f"2024-01-15T{10 + i // 3:02d}:{i:02d}:00")) for i in range(15)]
     add(bronze(spark, *first), source)

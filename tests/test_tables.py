@@ -9,6 +9,7 @@ from hourlake.operators.upsert import batches, high_water, newer_than, unconsume
 from hourlake.sources import scratch
 from hourlake.sources.bronze import read_bronze
 from hourlake.sources.files import footprint, list_files, read_or_empty
+from hourlake.sources.manifest import current, folders
 from hourlake.sources.tables import append, compacted, drop_old_versions, publish, published, versions
 
 KV = "k bigint, v string, day int"
@@ -62,14 +63,15 @@ def test_upsert(spark):
 def test_upsert_table_moves_rows_between_partitions(spark, tmp_path):
     path = str(tmp_path / "fact")
     put = lambda *d, **kw: upsert_table(spark, path, kv(spark, *d), ["k"], "day", KV, **kw)
-    table = lambda: rows(read_or_empty(spark, path, KV).select("k", "v", "day"))
+    table = lambda: rows(current(spark, path, KV).select("k", "v", "day"))
     assert put((1, "a", 1), (2, "b", 1), (3, "c", 2), (4, "d", 3)) == [1, 2, 3]
-    untouched = {p: os.stat(p).st_mtime_ns for p in (f"{path}/day=2/{n}" for n in os.listdir(f"{path}/day=2"))}
+    assert {f: x["change"] for f, x in folders(spark, path).items()} == {"day=1": 1, "day=2": 1, "day=3": 1}
     assert put((1, "moved", 3)) == [1, 3]
     assert table() == [(1, "moved", 3), (2, "b", 1), (3, "c", 2), (4, "d", 3)]
-    assert all(os.stat(p).st_mtime_ns == m for p, m in untouched.items())
+    assert {f: x["change"] for f, x in folders(spark, path).items()} == {"day=1": 2, "day=2": 1, "day=3": 2}
     # The last row leaves partition 1.
     assert put((2, "gone", 2)) == [1, 2]
+    assert set(folders(spark, path)) == {"day=2", "day=3"}
     assert table() == [(1, "moved", 3), (2, "gone", 2), (3, "c", 2), (4, "d", 3)]
     # Again the same: nothing changes.
     put((2, "gone", 2))
@@ -86,7 +88,7 @@ def test_batches_equal_one_load(spark, tmp_path):
     path = str(tmp_path / "fact")
     for start in range(0, 200, 40):
         upsert_table(spark, path, kv(spark, *data[start : start + 40]), ["k"], "day", KV)
-    assert rows(read_or_empty(spark, path, KV).select("k", "v", "day")) == rows(kv(spark, *data[160:]))
+    assert rows(current(spark, path, KV).select("k", "v", "day")) == rows(kv(spark, *data[160:]))
 
 
 def test_read_or_empty_only_hides_absence(spark, tmp_path):
