@@ -34,6 +34,12 @@ def keyed(docs: DataFrame, rest: bool = False) -> DataFrame:
     return docs.select(*cols)
 
 
+def with_key(docs: DataFrame) -> DataFrame:
+    """``_key`` (``_id, _row`` as a struct) and the whole row as ``_doc``, so that no column name can clash."""
+    key = F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"), F.xxhash64("doc_id", "text").alias("_row"))
+    return docs.select(key.alias("_key"), F.struct("*").alias("_doc"))
+
+
 def like_documents(changed: DataFrame, docs: DataFrame) -> DataFrame:
     """Back from ``keyed(rest=True)``: the columns of ``docs`` with the new text; ``n_chars`` follows it."""
     out: list[Column] = []

@@ -8,11 +8,12 @@ number of candidates, counted over all distinct fingerprints; they decide the co
 Each fingerprint is filed under its exact value in every partition and probes the values within that partition's
 threshold. The task that owns a value verifies all candidates exactly and reports only a spanning
 forest of the links it finds, so a bucket of n near copies gives n - 1 links, not n². Buckets beyond
-``BUCKET`` rows are dealt anew by five blocks of the remaining bits, which loses no link.
+``BUCKET`` rows are dealt anew by five blocks of all bits, and what is still larger by pieces of its filed and
+its asking rows, which loses no link and leaves no task more than twice ``BUCKET`` rows of a bucket.
 
 Texts that are null or have no word have fingerprint zero and are linked like any other. Rows with a null
-id are documents too: their id counts as smaller than all others where a least id is taken, and
-the component is then null. Repeated rows share a fingerprint. Extra columns are not looked at.
+id are documents too, but a component is named by the least id that is not null (null only if no member has
+one). Repeated rows share a fingerprint. Extra columns are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from hourlake.llm.common import NO_ID, keyed, longs, record, signed, text_list, unsigned
+from hourlake.llm.common import NO_ID, keyed, longs, record, signed, text_list, unsigned, with_key
 from hourlake.llm.components import components
 from hourlake.sources.scratch import written
 
@@ -278,42 +279,58 @@ def links_within(fps: DataFrame, distance: int, bucket: int = BUCKET) -> DataFra
     # a heavy value: any two of its rows within the distance agree in one of distance + 1 blocks of all bits
     blocks = [list(range(k, BITS, distance + 1)) for k in range(distance + 1)]
     again = marked.where("heavy").select("part", "v", F.posexplode(F.array(*[part_value(b) for b in blocks])).alias("block", "w"), "fp", "filed")
-    again = again.repartition("part", "v", "block", "w").sortWithinPartitions("part", "v", "block", "w")
-    return found.unionByName(again.mapInArrow(_verify(distance), "x long, y long")).distinct()
+    return found.unionByName(_pieces(again, bucket).mapInArrow(_verify(distance), "x long, y long")).distinct()
+
+
+def _pieces(rows: DataFrame, bucket: int) -> DataFrame:
+    """Buckets ``part, v, block, w`` in pieces of bounded size, sorted; every filed row meets every other row in one of them.
+
+    A bucket of k times ``bucket`` rows becomes k x k pieces: filed rows of one k-th with asking rows of another.
+    """
+    keys = ["part", "v", "block", "w"]
+    rows = rows.join(rows.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / bucket).cast("int").alias("k")), keys)
+    own, every = F.pmod(F.xxhash64("fp"), F.col("k")).cast("int"), F.sequence(F.lit(0), F.col("k") - 1)
+    whole = rows.where("k = 1").select(*keys, F.lit(0).alias("i"), F.lit(0).alias("j"), "fp", "filed")
+    split = rows.where("k > 1")
+    filed = split.where("filed").select(*keys, own.alias("i"), F.explode(every).alias("j"), "fp", "filed")
+    asks = split.select(*keys, F.explode(every).alias("i"), own.alias("j"), "fp", F.lit(False).alias("filed"))
+    at = [*keys, "i", "j"]
+    return whole.unionByName(filed).unionByName(asks).repartition(*at).sortWithinPartitions(*at)
 
 
 # ---------------------------------------------------------------- the operator
 
 
 def near_duplicates(docs: DataFrame, size: int = 4, distance: int = 4) -> DataFrame:
-    """``_id, _row, fp, component``: the component is the least id (``NO_ID``: null) that links lead to."""
+    """``_id, _row, fp, root, component``: the component's own name, and the least id that is not null in it (null if there is none)."""
     rows = written(fingerprints(docs, size), "fingerprints")
-    classes = written(rows.groupBy("fp").agg(F.min("_id").alias("least")), "classes")
+    classes = written(rows.groupBy("fp").agg(F.min(_null_id("_id")).alias("least")), "classes")
     links = links_within(classes.select("fp"), distance)
     # components over fingerprints, then the least id of each
     found = written(components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))), "components")
     classes = classes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("component", "fp")).drop("component")
     least = classes.groupBy("root").agg(F.min("least").alias("component"))
-    return rows.join(classes.select("fp", "root").join(least, "root").drop("root"), "fp")
+    return rows.join(classes.select("fp", "root").join(least, "root"), "fp")
+
+
+def _null_id(name: str) -> Column:
+    return F.when(F.col(name) != NO_ID, F.col(name))
 
 
 def simhash_components(docs: DataFrame, size: int = 4, distance: int = 4) -> DataFrame:
     """``doc_id, fingerprint`` (16 hex digits) and ``component_id`` of every document."""
-    null_id = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
     return near_duplicates(docs, size, distance).select(
-        null_id("_id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), null_id("component").alias("component_id")
+        _null_id("_id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id")
     )
 
 
 def first_of_each(docs: DataFrame, size: int = 4, distance: int = 4) -> DataFrame:
-    """The rows of ``docs`` with one document of each component: the one whose id names it.
+    """The rows of ``docs`` with one document of each component: the one with the least id, and of these the least text hash.
 
-    Of rows that share that id, one with the smallest text hash stays.
+    A document without an id stays only where no member has one. Of identical rows one stays.
     """
-    near = near_duplicates(docs, size, distance).where(F.col("_id") == F.col("component"))
-    picked = near.groupBy("component").agg(F.min("_row").alias("_row")).withColumnRenamed("component", "_id")
-    own = docs.withColumn("_nd_key", F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"), F.xxhash64("doc_id", "text").alias("_row")))
-    keep = picked.select(F.struct("_id", "_row").alias("_nd_key"))
-    kept = own.join(keep, "_nd_key", "left_semi")
-    again = F.row_number().over(Window.partitionBy("_nd_key").orderBy("_nd_key"))
-    return kept.withColumn("_nd_copy", again).where("_nd_copy = 1").drop("_nd_key", "_nd_copy")
+    first = F.min(F.struct((F.col("_id") == NO_ID).alias("none"), "_id", "_row"))
+    picked = near_duplicates(docs, size, distance).groupBy("root").agg(first.alias("p"))
+    kept = with_key(docs).join(picked.select(F.struct("p._id", "p._row").alias("_key")), "_key", "left_semi")
+    again = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
+    return kept.withColumn("_copy", again).where("_copy = 1").select("_doc.*")
