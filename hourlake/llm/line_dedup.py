@@ -136,7 +136,8 @@ def frequent_lines(docs: DataFrame, least_docs: int, least_chars: int = 1) -> Da
     shards = max(1, -(-counts.count() // KEYS_PER_SHARD))
     shard = F.pmod("h1", F.lit(shards)).alias("shard")
     copies = counts.groupBy(shard).agg(F.ceil(F.sum("docs") / PROBES_PER_TASK).cast("int").alias("copies"))
-    probes = lines.withColumn("shard", shard).join(copies, "shard")
+    # identical rows ask once
+    probes = lines.distinct().withColumn("shard", shard).join(copies, "shard")
     probes = probes.withColumn("copy", F.pmod(F.hash(*ROW), "copies")).drop("copies")
     arrays = counts.withColumn("shard", shard).join(copies, "shard")
     arrays = arrays.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
@@ -172,7 +173,7 @@ def _drop(with_rest: bool, schema: pa.Schema):
 
 def _deduped(docs: DataFrame, least_docs: int, least_chars: int, text: bool, rest: bool) -> DataFrame:
     base = keyed(docs, rest)
-    hits = frequent_lines(docs, least_docs, least_chars).groupBy(*ROW).agg(F.collect_list(F.struct("h1", "h2")).alias("hits"))
+    hits = frequent_lines(docs, least_docs, least_chars).groupBy(*ROW).agg(F.collect_set(F.struct("h1", "h2")).alias("hits"))
     joined = base.join(hits, list(ROW), "left").drop(*ROW)
     with_rest = "_rest" in base.columns
     names = ["doc_id", "n_lines", "n_dropped", "kept_sha256"] + ["text"] * text + ["_rest"] * with_rest

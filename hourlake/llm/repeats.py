@@ -297,8 +297,11 @@ def repeated_windows(docs: DataFrame, packed: DataFrame, unit: Unit, between_ids
 
 
 def with_ranges(packed: DataFrame, flags: DataFrame) -> DataFrame:
-    """``compact`` documents with ``ranges``, the ranges of repeated windows (those of other ids with an equal row hash included)."""
-    return packed.join(flags.groupBy("_row").agg(F.collect_list(F.struct("_id", "a", "b")).alias("ranges")), "_row", "left")
+    """``compact`` documents with ``ranges``, the ranges of repeated windows (those of other ids with an equal row hash included).
+
+    Identical rows find the same ranges, each of which counts once: a set, collapsed map-side.
+    """
+    return packed.join(flags.groupBy("_row").agg(F.collect_set(F.struct("_id", "a", "b")).alias("ranges")), "_row", "left")
 
 
 def covered(ranges: list[dict] | None, doc_id: int, size: int, n: int) -> list[tuple[int, int]]:
