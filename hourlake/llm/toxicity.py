@@ -11,7 +11,7 @@ at most ``CANDIDATES`` of them reach the driver. Scoring reads whole texts of al
 
 Null and empty texts score like any text without matches. Without labels of both kinds every score is the
 share of toxic labels (0.5 without any). Labels that are null or without a document are not used; of several labels of
-an id, the greatest counts. Null ids can't be labelled and are not held out. Extra columns are not looked at.
+an id, the greatest counts; of several documents of a labelled id, the least text is learned from. Null ids can't be labelled and are not held out. Extra columns are not looked at.
 """
 
 from __future__ import annotations
@@ -112,13 +112,25 @@ class Matcher:
                 covered.append((end - size + 1, end))
             else:
                 found.append((end - size + 1, end, weight))
-        if not found:
-            return []
-        best: dict[int, tuple[int, float]] = {}
+        # one pass in order of place: how far exceptions reach that began so far, and the number of the word
+        found.sort()
+        covered.sort()
+        out: list[tuple[int, str, float]] = []
+        reach, exception, number, counted, last = -1, 0, 0, 0, -1
         for a, b, weight in found:
-            if not any(x <= a and b <= y for x, y in covered) and (a not in best or weight > best[a][1]):
-                best[a] = (b, weight)
-        return [(text.count(" ", 0, a), text[a : b + 1], weight) for a, (b, weight) in best.items()]
+            while exception < len(covered) and covered[exception][0] <= a:
+                reach = max(reach, covered[exception][1])
+                exception += 1
+            if b <= reach:
+                continue
+            number += text.count(" ", counted, a)
+            counted = a
+            if a != last:
+                out.append((number, text[a : b + 1], weight))
+            elif weight > out[-1][2]:
+                out[-1] = (number, text[a : b + 1], weight)
+            last = a
+        return out
 
     def sums(self, words: list[str]) -> tuple[float, float]:
         """The weights' sum, and the same for every hundred words."""
@@ -227,7 +239,8 @@ def learn(docs: DataFrame, labels: DataFrame, training: Column, sample: int = SA
     """A lexicon from the labelled documents for which ``training`` (over ``doc_id``) is true."""
     marks = labels.where("toxic is not null and doc_id is not null").where(training)
     marks = marks.groupBy("doc_id").agg(F.max(F.col("toxic").cast("long")).alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = written(docs.select("doc_id", F.col("text").cast("string").alias("text")).join(marks, "doc_id").select("text", "label"), "labelled")
+    known = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(marks, "doc_id")
+    rows = written(known.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label")).select("text", "label"), "labelled")
     size = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = size.get(1, 0), size.get(0, 0)
     base = float(np.log((toxic + 0.5) / (clean + 0.5)))
