@@ -245,3 +245,16 @@ def test_words_and_sliding_minimum():
     for w in (1, 2, 3, 7, 50):
         assert sliding_min(a, w).tolist() == [a[i : i + w].min() for i in range(51 - w)]
     assert len(sliding_min(a, 51)) == 0
+
+
+def test_many_identical_rows_take_linear_work(spark):
+    """Copies under one null id share what was found for them; nothing is listed once for each."""
+    text = "\n".join(f"line {i} of the same text with more words in it" for i in range(60))
+    docs = frame(spark, [text] * 1500, ids=[None] * 1500)
+    got = line_dedup.line_dedup_report(docs).collect()
+    assert len(got) == 1500 and {(r.n_lines, r.n_dropped) for r in got} == {(60, 60)}
+    size = len(text.encode())
+    got = suffix_array_dedup.suffix_array_dedup_report(docs, size=200).collect()
+    assert len(got) == 1500 and {(r.n_bytes, r.n_removed, r.n_spans) for r in got} == {(size, size, 1)}
+    got = substring_dedup.substring_dedup_report(docs, size=13).collect()  # no smaller id: nothing goes
+    assert len(got) == 1500 and {r.n_removed for r in got} == {0}

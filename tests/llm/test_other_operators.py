@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -158,12 +159,31 @@ def test_one_document_of_each_group_stays(spark):
     docs = frame(spark, [b, a, a, None, "", b, b], ids=[9, 4, 2, 7, 6, 9, None])
     out = simhash.first_of_each(docs)
     assert out.schema == docs.schema
-    assert sorted((r["doc_id"] or -1, r["text"]) for r in out.collect()) == sorted([(2, a), (6, ""), (-1, b)], key=lambda x: (x[0], x[1]))
+    assert sorted((r["doc_id"], r["text"]) for r in out.collect()) == [(2, a), (6, ""), (9, b)]
     got = {r["doc_id"]: r["component_id"] for r in simhash.simhash_components(docs).collect()}
-    assert got == {9: None, 4: 2, 2: 2, 7: 6, 6: 6, None: None}
+    assert got == {9: 9, 4: 2, 2: 2, 7: 6, 6: 6, None: 9}
     assert simhash.simhash_components(frame(spark, [])).count() == 0
 
 
+def test_unrelated_documents_with_null_or_repeated_ids_all_stay(spark):
+    text = lambda c: " ".join(f"{c}{i}" for i in range(50))
+    docs = frame(spark, [*map(text, "abcdea"), text("f"), text("f")], ids=[None, None, None, 7, 7, 8, None, None])
+    kept = sorted((r["doc_id"] or -1, r["text"][0]) for r in simhash.first_of_each(docs).collect())
+    assert kept == [(-1, "b"), (-1, "c"), (-1, "f"), (7, "d"), (7, "e"), (8, "a")]
+    named = {(r["doc_id"], r["component_id"]) for r in simhash.simhash_components(docs).collect()}
+    assert named == {(None, None), (None, 8), (7, 7), (8, 8)}
+
+
+def test_columns_may_have_any_name(spark):
+    a, b = " ".join(f"a{i}" for i in range(50)), " ".join(f"b{i}" for i in range(50))
+    names = "_key long, _copy string, _nd_key long, _nd_copy long, _doc string, root long, least long, _id long, _row long, `k.x` long"
+    docs = spark.createDataFrame([(i, t, 1, "x", 2, 3, "d", 4, 5, 6, 7, 8) for i, t in [(1, a), (2, a), (3, b)]], f"doc_id long, text string, {names}")
+    bench = spark.createDataFrame([(1, b)], "item_id long, text string")
+    for out, ids in ((simhash.first_of_each(docs), [1, 3]), (decontaminate.clean_documents(docs, bench), [1, 2])):
+        assert out.schema == docs.schema
+        assert sorted(out.collect()) == sorted(r for r in docs.collect() if r.doc_id in ids)
+
+
 # ---------------------------------------------------------------- decontamination
 
 
@@ -246,6 +266,47 @@ def test_lexicon_matching_and_exceptions():
     assert toxicity.Lexicon({}, frozenset(), (0.0, 0.0, 0.0)).matcher().score(["x"]) == 0.5
 
 
+def brute_matches(lexicon, words):
+    """Heaviest entry that begins at each word, unless an exception phrase holds all of it."""
+    text = " " + " ".join(words) + " "
+    spans = lambda phrase: [(m.start(), m.start() + len(phrase)) for m in re.finditer(f"(?={re.escape(phrase)})", text)]
+    spared = [x for e in lexicon.exceptions for x in spans(e)]
+    best = {}
+    for entry, weight in lexicon.entries.items():
+        for a, b in spans(entry):
+            if not any(x <= a and b <= y for x, y in spared) and weight > best.get(a, ("", 0.0))[1]:
+                best[a] = (entry, weight)
+    return [(text[:a].count(" "), *best[a]) for a in sorted(best)]
+
+
+def test_matching_equals_brute_force():
+    rng = random.Random(9)
+    pool = ["trash", "trashy", "tra", "can", "idiot", "idiotic", "fine", "id"]
+    for _ in range(300):
+        entries = {f" {w}{rng.choice(['', ' '])}": rng.random() for w in rng.sample(pool, 4)}
+        exceptions = frozenset(f" {rng.choice(pool)} {rng.choice(pool)} " for _ in range(rng.randint(0, 4)))
+        lexicon = toxicity.Lexicon(entries, exceptions, (1.0, 0.0, -2.0))
+        words = [rng.choice(pool) for _ in range(rng.randint(0, 25))]
+        assert lexicon.matcher().matches(words) == brute_matches(lexicon, words)
+
+
+def test_very_long_texts_take_linear_time():
+    lexicon = toxicity.Lexicon({" trash ": 3.0, " idiot": 5.0}, frozenset({" trash can ", " idiot proof "}), (1.0, 0.0, -2.0))
+    m, words = lexicon.matcher(), ["trash", "can", "idiot", "proof", "idiot", "trash"] * 50_000
+    start = time.perf_counter()
+    assert len(m.matches(words)) == 100_000
+    assert time.perf_counter() - start < 5
+
+
+def test_a_repeated_labelled_id_is_one_example(spark, monkeypatch):
+    docs = frame(spark, ["grumbo"] * 50 + ["fine"] * 3, ids=[1] * 50 + [3, 4, 5])
+    labels = spark.createDataFrame([(1, 0, 1), (1, 0, 0), (3, 0, 0), (4, 0, 0), (5, 0, 0)], "doc_id long, quality int, toxic int")
+    seen, plain = [], toxicity.written
+    monkeypatch.setattr(toxicity, "written", lambda df, label: seen.append(df.count()) or plain(df, label))
+    toxicity.learn(docs, labels, F.lit(True))
+    assert seen == [4]
+
+
 def test_toxicity_on_held_out_documents(spark):
     rng = random.Random(6)
     texts, marks = [], []
@@ -453,7 +514,7 @@ def test_a_repeated_url_does_not_fill_the_sample(spark):
 # ---------------------------------------------------------------- language model
 
 
-def test_lm_counts_and_base_score(spark):
+def test_lm_counts_and_base_score(spark, monkeypatch):
     rng = random.Random(5)
     texts = [None, "", "Only Here", *[" ".join(rng.choice(["the", "The", "a", "é", "É", *[f"x{k}" for k in range(200)]]) for _ in range(rng.randint(0, 60))) for _ in range(120)]]
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -461,7 +522,8 @@ def test_lm_counts_and_base_score(spark):
     held = [zlib.crc32(str(i).encode()) % 7 == 2 for i in range(len(texts))]
     c = Counter(w for t, h in zip(tokens, held) if not h for w in t)
     n, v = c.total(), len(c)
-    for head in (5, 1 << 18):
+    for head, each in ((5, 1 << 22), (5, 9), (1 << 18, 1 << 22)):
+        monkeypatch.setattr(maxent_lm, "TOKENS_PER_TASK", each)
         for r in maxent_lm.lm_scores(frame(spark, texts), head=head).collect():
             own = tokens[r["doc_id"]]
             base = sum(math.log10((c[w] + 1) / (n + v + 1)) for w in own)
