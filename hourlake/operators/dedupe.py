@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def latest_per_key(
@@ -16,26 +15,20 @@ def latest_per_key(
 ) -> DataFrame:
     """The row with the greatest ``order`` values per key; ties go to ``tiebreak``.
 
-    Keys are counted first, by a hash aggregate over the key columns alone. Rows of keys that occur
-    once (nearly all, in an event feed) pass as they are; only the others are reduced, by an aggregate
-    and not a window: every task first reduces its own rows to one per key, so a key that holds a
-    third of the table sends one row per task over the network. With ``tiebreak=None`` all remaining
-    columns break ties, which makes the result deterministic.
+    The input is read once and shuffled once. It is a window cut at its first row, which Spark also cuts *before* the
+    shuffle: every task keeps one row of a key, so a key that holds a third of the table sends one row per
+    task over the network. With ``tiebreak=None`` all remaining columns break ties, which makes the
+    result deterministic; columns that are neither in ``order`` nor in ``tiebreak`` come last.
     """
     rest = [c for c in df.columns if c not in keys]
     if tiebreak is None:
         tiebreak = [c for c in rest if c not in order]
     if not rest:
         return df.select(*keys).distinct()
-    # max over a struct compares fields left to right; the remaining columns ride along.
     lead = list(dict.fromkeys([*order, *tiebreak]))
-    best = F.max(F.struct(*lead, *[c for c in rest if c not in lead])).alias("_best")
-    again = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    again = again.select(*[F.col(k).alias(f"_key_{k}") for k in keys])
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
-    once = df.join(again, same, "left_anti")
-    picked = df.join(again, same, "left_semi").groupBy(*keys).agg(best)
-    return once.unionByName(picked.select(*[F.col(c) if c in keys else F.col(f"_best.{c}") for c in df.columns]))
+    latest_first = [F.col(c).desc_nulls_last() for c in [*lead, *[c for c in rest if c not in lead]]]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*latest_first))
+    return df.select("*", place.alias("_place")).filter("_place = 1").drop("_place")
 
 
 def latest_value(df: DataFrame, keys: Sequence[str], value: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
