@@ -8,11 +8,9 @@ run log are all derived from that copy.
 from __future__ import annotations
 
 import uuid
-import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from datetime import UTC, datetime
 
-import pandas as pd
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -21,6 +19,7 @@ from hourlake.schemas import BRONZE, DEFAULT_EVENT_TYPES, RUN_LOG
 from hourlake.session import pin_utc
 from hourlake.sources.bronze import partition_columns, write_bronze
 from hourlake.sources.files import path_exists, read_or_empty, remove_folders
+from hourlake.sources.gzip_check import gzip_errors
 from hourlake.sources.landing import hour_of_path, hour_path, read_lines
 from hourlake.sources.scratch import written
 from hourlake.sources.tables import append
@@ -149,36 +148,14 @@ def line_counters(rows: DataFrame, by: str = "source_file") -> DataFrame:
     )
 
 
-def _gzip_verifier():
-    """Batch function ``(path, content) -> (path, error)``; self-contained, so workers need no package."""
-
-    def error_of(content: bytes) -> str | None:
-        data, member = content, zlib.decompressobj(31)
-        try:
-            while data:
-                # Output is discarded piece by piece.
-                member.decompress(data, 1 << 20)
-                data = member.unconsumed_tail
-                if member.eof and member.unused_data:
-                    data, member = member.unused_data, zlib.decompressobj(31)
-        except zlib.error as e:
-            return f"corrupt gzip: {e}"
-        return None if member.eof or not content else "truncated gzip"
-
-    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            pdf["error"] = [error_of(c) for c in pdf["content"]]
-            yield pdf[["path", "error"]]
-
-    return verify
-
-
 def unreadable_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """``(path, error)`` of the files that do not decompress; only run after a read has failed."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.gz")
-    files = files.load(paths).select("path", "content")
-    checked = files.mapInPandas(_gzip_verifier(), "path string, error string")
-    return checked.filter(F.col("error").isNotNull())
+    """``(path, error)`` of the files below the paths that do not decompress; only run after a read has failed.
+
+    Files are streamed, so their size does not matter. Only their names pass through the driver.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.gz")
+    files = [r["path"] for r in listed.load(paths).select("path").collect()]
+    return gzip_errors(spark, files).filter(F.col("error").isNotNull())
 
 
 def done_hours(run_log: DataFrame) -> DataFrame:
@@ -226,7 +203,7 @@ def ingest_hours(
     todo = found.select("hour")
     paths = [p for _, p in places if p is not None]
 
-    rows, bad = _parse_or_isolate(spark, paths, event_types, stamp)
+    rows, bad = parse_or_isolate(spark, paths, event_types, stamp)
     errors = found.select(
         "hour", F.when(F.col("path").isNull(), F.lit("source file not found")).alias("e")
     )
@@ -276,7 +253,9 @@ def ingest_hours(
     return outcomes.orderBy("hour")
 
 
-def _parse_or_isolate(spark, paths, event_types, stamp):
+def parse_or_isolate(
+    spark: SparkSession, paths: list[str], event_types: Sequence[str], stamp: datetime
+) -> tuple[DataFrame | None, list[tuple[str, str]]]:
     """Parsed rows of all readable hours (None if there are none) and ``(path, error)`` of the rest.
 
     Files are not checked in advance. Only when reading fails are all files of the batch verified in
@@ -379,6 +358,7 @@ __all__ = [
     "line_counters",
     "missing_hours",
     "parse_events",
+    "parse_or_isolate",
     "partition_hour",
     "read_run_log",
     "run_log_rows",

@@ -8,7 +8,7 @@ from datetime import UTC, datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from hourlake.plans.ingest import KEPT, MALFORMED, classify_lines, line_counters, run_log_rows
+from hourlake.plans.ingest import KEPT, MALFORMED, classify_lines, line_counters, parse_or_isolate, run_log_rows
 from hourlake.schemas import BRONZE, DEFAULT_EVENT_TYPES, RUN_LOG
 from hourlake.session import pin_utc
 from hourlake.sources.bronze import partition_columns, read_bronze, write_bronze
@@ -72,10 +72,16 @@ def ingest_batch(
             none.cast("bigint").alias("bytes_written"), none.cast("string").alias("error_message"),
         )
         finished = finished_at or datetime.now(UTC).replace(tzinfo=None)
-        log = run_log_rows(outcomes, batch, started, finished)
-        # A repeated micro-batch has the same run ids.
-        done = read_or_empty(spark, run_log, RUN_LOG).select("run_id")
-        append(written(log.join(done, "run_id", "left_anti"), "runs").coalesce(1), run_log)
+        _log_once(run_log_rows(outcomes, batch, started, finished), run_log)
+
+
+def arrivals(spark: SparkSession, landing: str, max_files: int | None = None) -> DataFrame:
+    """``path, length`` of files as they land; their content is not read. ``max_files`` bounds a micro-batch."""
+    reader = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary")
+    reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.gz")
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.load(landing).select("path", "length")
 
 
 def stream_to_bronze(
@@ -91,19 +97,44 @@ def stream_to_bronze(
 ) -> StreamingQuery:
     """Ingest all files not seen before and stop. The checkpoint makes every file count once.
 
-    Micro-batches go through the batch writer, so stream and batch can share all tables. An hour whose files come
-    in several micro-batches is logged once for each, with the counts of its part.
+    What is streamed is the arrival of files; each micro-batch reads its files as the batch ingest does, into the same tables.
+    If one of them is unreadable, all files of the micro-batch are verified, the hours that have an unreadable one are logged
+    as ``failed`` with the error, and the others are ingested; a later batch ingest takes the failed hours again. An hour whose files
+    come in several micro-batches is logged once for each, with the counts of its part.
     """
     pin_utc(spark)
-    rows = stream_events(stream_lines(spark, landing, max_files), event_types, ingested_at)
 
-    def put(batch_rows: DataFrame, batch_id: int) -> None:
-        ingest_batch(batch_rows, f"{checkpoint}#{batch_id}", bronze, run_log, quarantine)
+    def put(batch_files: DataFrame, batch_id: int) -> None:
+        started = datetime.now(UTC).replace(tzinfo=None)
+        batch = f"{checkpoint}#{batch_id}"
+        # names of the micro-batch's files, at most ``max_files``
+        paths = [r["path"] for r in batch_files.select("path").collect()]
+        rows, bad = parse_or_isolate(spark, paths, event_types, ingested_at or started)
+        if rows is not None:
+            ingest_batch(rows.withColumnRenamed("hour", "file_hour"), batch, bronze, run_log, quarantine)
+        if bad and run_log:
+            log_failures(spark, bad, f"{batch}!", run_log, started)
 
     return (
-        rows.writeStream.foreachBatch(put)
+        arrivals(spark, landing, max_files)
+        .writeStream.foreachBatch(put)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
+
+
+def log_failures(spark: SparkSession, bad: list[tuple[str, str]], batch: str, run_log: str, started: datetime) -> None:
+    """A ``failed`` row for each hour of the unreadable files ``(path, error)``."""
+    files = spark.createDataFrame(bad, "path string, error string")
+    hours = files.groupBy(hour_of_path(F.col("path")).alias("hour")).agg(F.min(F.concat_ws(": ", "error", "path")).alias("error_message"))
+    zero = [F.lit(0).cast("bigint").alias(c) for c in ("rows_read", "rows_kept", "malformed_rows", "bytes_written")]
+    outcomes = hours.filter(F.col("hour").isNotNull()).select("hour", F.lit("failed").alias("status"), *zero, "error_message")
+    _log_once(run_log_rows(outcomes, batch, started, datetime.now(UTC).replace(tzinfo=None)), run_log)
+
+
+def _log_once(log: DataFrame, run_log: str) -> None:
+    """Append run-log rows; a repeated micro-batch has the same run ids."""
+    done = read_or_empty(log.sparkSession, run_log, RUN_LOG).select("run_id")
+    append(written(log.join(done, "run_id", "left_anti"), "runs").coalesce(1), run_log)

@@ -991,6 +991,18 @@ def t01c_stream_counters(spark, sf):
     return runs_.join(lost, "hour", "left").na.fill(0, ["quarantined"])
 
 
+@query
+def t01d_stream_unreadable_files(spark, sf):
+    """The feed streams in along with two hours whose file is no gzip or cut short: these fail, all others land."""
+    landing, out, log = _landing(spark, sf), scratch_path(spark, "bronze"), scratch_path(spark, "runlog")
+    march = datetime(2024, 3, 1)
+    for k, data in enumerate((b"no gzip", gzip.compress(b"{}" * 5000)[:-9])):
+        adapter.put_bytes(spark, f"{landing}/{hour_name(march.replace(hour=k))}", data)
+    stream_to_bronze(spark, landing, out, scratch_path(spark, "cp"), KEPT_TYPES, run_log=log, ingested_at=BATCH_TS).awaitTermination()
+    error = F.regexp_extract(F.coalesce("error_message", F.lit("")), "^[a-z ]*", 0).alias("error")
+    return ingest.read_run_log(spark, log).groupBy("status", error).agg(F.count("*").alias("hours"), F.sum("rows_written").alias("rows_kept"))
+
+
 @query
 def t02_stream_dedupe(spark, sf):
     rows = _drain(dedupe_stream(_stream(spark, bronze(spark, sf))))

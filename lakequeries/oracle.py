@@ -584,6 +584,9 @@ _q("t01c_stream_counters", f"""
 SELECT CAST(date_trunc('hour', created_at) AS TIMESTAMP) AS hour, count(*) AS rows_read, count(*) FILTER (WHERE {KEPT}) AS rows_kept,
   count(*) FILTER (WHERE event_type = 'IssuesEvent') AS malformed_rows, count(*) FILTER (WHERE event_type = 'IssuesEvent') AS quarantined
 FROM ev GROUP BY 1""", EV)
+_q("t01d_stream_unreadable_files", f"""
+SELECT 'success' AS status, '' AS error, count(DISTINCT CAST(date_trunc('hour', created_at) AS TIMESTAMP)) AS hours, count(*) FILTER (WHERE {KEPT}) AS rows_kept FROM ev
+UNION ALL SELECT 'failed', 'corrupt gzip', 1, 0 UNION ALL SELECT 'failed', 'truncated gzip', 1, 0""", EV)
 _q("t02_stream_dedupe", "SELECT event_id, event_type, created_at, repo_id FROM ev", EV)
 _q("t03_stream_upsert", """
 SELECT *, CAST(strftime(created_at, '%Y%m%d') AS INTEGER) AS date_key FROM latest""", LATEST)

@@ -3,7 +3,7 @@ from __future__ import annotations
 import gzip
 import json
 import os
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from conftest import rows, ts
@@ -11,22 +11,33 @@ from pyspark.sql import functions as F
 
 from hourlake.plans import ingest
 from hourlake.sources.bronze import read_bronze
+from hourlake.sources.gzip_check import data_source, gzip_errors
 from hourlake.sources.landing import hour_name, hour_of_path, hour_range
 
 TYPES = ("PushEvent", "PullRequestEvent")
-H = datetime(2024, 1, 15, 12)
+H = datetime(2025, 3, 8, 21)
 
 
 def line(number, kind="PushEvent", **fields):
-    """A line of the feed with what bronze needs; ``fields`` replace or add top-level ones."""
-    who, where = {"id": 1, "login": "octo"}, {"id": 10, "name": "octo/hello"}
-    at = H.strftime("%Y-%m-%dT%H:%M:%SZ")
-    return json.dumps(dict(dict(actor=who, repo=where, created_at=at, type=kind, id=f"{number}"), **fields))
+    """A line of the feed, made from its number: five people work on three projects, an event every seven seconds.
+
+    ``fields`` take the place of whole top-level values.
+    """
+    seed = number if isinstance(number, int) else 0
+    project = seed % 3
+    made = {
+        "org": {"id": 70 + project},
+        "repo": {"id": 800 + project, "name": f"Guild{project}/tool-{project}"},
+        "actor": {"login": ("ines", "jo", "kim", "lou", "max")[seed % 5], "id": 40 + seed % 5},
+        "created_at": f"{H + timedelta(seconds=7 * seed % 3600):%Y-%m-%dT%H:%M:%SZ}",
+        "id": str(number),
+    }
+    return json.dumps({"type": kind} | made | fields)
 
 
 def classify(spark, *lines):
     df = spark.createDataFrame([(ln, "f") for ln in lines], "value string, source_file string")
-    return ingest.classify_lines(df, TYPES, datetime(2024, 1, 15, 14))
+    return ingest.classify_lines(df, TYPES, H + timedelta(hours=2))
 
 
 def counters(df):
@@ -34,26 +45,30 @@ def counters(df):
     return r["rows_read"], r["rows_kept"], r["filtered_rows"], r["malformed_rows"]
 
 
-def test_each_line_has_one_outcome(spark):
-    """The contract in one table: what becomes of a line depends on its text alone."""
-    expected = {
-        line(11): "kept",
-        line(12, "PullRequestEvent", payload={"action": "opened", "pull_request": {"number": 7}}): "kept",
-        line(13, "ForkEvent"): "filtered",
-        line(14, "pushevent"): "filtered",
-        line(15, None): "filtered",
-        line(16)[:40]: "malformed",
-        line(17).replace("octo", 'o"cto', 1): "malformed",
-        '{"type":"PullRequestEvent"}': "malformed",
-        "plain text": "malformed",
-    }
-    df = classify(spark, *expected)
-    assert counters(df) == (9, 2, 3, 4)
-    by_id = {r["event_id"]: r for r in df.filter("event_id is not null").collect()}
-    assert {k: r["outcome"] for k, r in by_id.items()} == {11: "kept", 12: "kept", 13: "filtered", 14: "filtered", 15: "filtered"}
-    assert (by_id[12]["action"], by_id[12]["pr_number"], by_id[12]["repo_id"], by_id[12]["created_at"]) == ("opened", 7, 10, H)
+def test_outcome_of_generated_lines(spark):
+    """Sixty lines, each spoilt in the way its number says; outcome, values and quarantined text follow from it."""
+    opened = {"action": "opened", "pull_request": {"number": 31}}
+    spoilt = [
+        ("kept", lambda n: line(n)),
+        ("kept", lambda n: line(n, "PullRequestEvent", payload=opened)),
+        ("filtered", lambda n: line(n, ("ForkEvent", "pushevent", None)[n % 3])),
+        ("filtered", lambda n: line(n, "GollumEvent", actor=None, created_at="never")),
+        ("malformed", lambda n: line(n)[: -1 - n]),
+        ("malformed", lambda n: line(n, created_at="never")),
+    ]
+    lines = {n: (outcome, made(n)) for n in range(60) for outcome, made in [spoilt[n % 6]]}
+    df = classify(spark, *[text for _, text in lines.values()])
+    assert counters(df) == (60, 20, 20, 20)
+    got = {r["event_id"]: r for r in df.filter("event_id is not null").collect()}
+    assert all(r["outcome"] == lines[n][0] for n, r in got.items())
+    assert {n for n, (outcome, _) in lines.items() if outcome == "kept"} <= set(got)
+    for n in range(1, 60, 6):
+        r = got[n]
+        assert (r["event_type"], r["action"], r["pr_number"], r["repo_id"], r["org_id"]) == ("PullRequestEvent", "opened", 31, 800 + n % 3, 70 + n % 3)
+        assert (r["actor_id"], r["created_at"], r["repo_name"]) == (40 + n % 5, H + timedelta(seconds=7 * n), f"Guild{n % 3}/tool-{n % 3}")
     # Quarantine keeps the text as it came.
-    assert {r["raw"] for r in df.filter("outcome = 'malformed'").collect()} == {k for k, v in expected.items() if v == "malformed"}
+    lost = [r["raw"] for r in df.filter("outcome = 'malformed'").collect()]
+    assert sorted(lost) == sorted(text for outcome, text in lines.values() if outcome == "malformed")
 
 
 def test_blank_lines_are_not_read(spark):
@@ -108,7 +123,7 @@ def test_required_and_optional_fields(spark):
     df = classify(
         spark,
         line(1, actor={"id": 1, "login": None}),
-        line(2, actor="octo"),
+        line(2, actor="ines"),
         line("x"),
         line(4, payload={"issue": {"number": 5_000_000_000}}),
         line(5, repo={"id": "not a number", "name": "a/b"}),
@@ -137,16 +152,16 @@ def test_other_hours_are_not_listed(spark, tmp_path, monkeypatch):
     asked = []
     monkeypatch.setattr(zone, "path_exists", lambda s, p: asked.append(p) or False)
     assert zone.hour_path(spark, "/zone", H) is None
-    assert asked == ["/zone/2024-01-15-12.json.gz", "/zone/hour_file=2024-01-15-12.json.gz"]
+    assert asked == ["/zone/2025-03-08-21.json.gz", "/zone/hour_file=2025-03-08-21.json.gz"]
 
 
 def test_hour_range(spark):
-    got = [r[0] for r in hour_range(spark, H, datetime(2024, 1, 15, 14)).orderBy("hour").collect()]
-    assert got == [datetime(2024, 1, 15, h) for h in (12, 13, 14)]
+    got = [r[0] for r in hour_range(spark, H, H.replace(hour=23)).orderBy("hour").collect()]
+    assert got == [H.replace(hour=h) for h in (21, 22, 23)]
     with pytest.raises(ValueError):
         hour_range(spark, H.replace(minute=1), H)
     with pytest.raises(ValueError):
-        hour_range(spark, H, datetime(2024, 1, 15, 11))
+        hour_range(spark, H, H.replace(hour=20))
 
 
 class Lake:
@@ -211,7 +226,7 @@ def test_force_replaces(lake):
 
 
 def test_bad_hours_do_not_affect_others(lake):
-    hours = [H.replace(hour=h) for h in (12, 13, 14, 15)]
+    hours = [H.replace(hour=h) for h in (20, 21, 22, 23)]
     lake.put(hours[0], [line(1), "{broken"])
     lake.put(hours[1], [line(i) for i in range(100, 5000)], cut=12)
     lake.put(hours[3], [line(9, "WatchEvent")])
@@ -243,11 +258,11 @@ def test_hour_in_parts_fails_as_a_whole(lake):
 
 
 def test_partition_follows_the_file_hour(lake):
-    lake.put(H, [line(1, created_at="2024-01-14T23:59:59Z")])
+    lake.put(H, [line(1, created_at="2025-03-07T23:59:59Z")])
     lake.run()
     got = read_bronze(lake.spark, lake.bronze).select("event_date", "hour").first()
-    assert (str(got[0]), got[1]) == ("2024-01-15", "12")
-    assert os.path.isdir(f"{lake.bronze}/event_date=2024-01-15/hour=12")
+    assert (str(got[0]), got[1]) == ("2025-03-08", "21")
+    assert os.path.isdir(f"{lake.bronze}/event_date=2025-03-08/hour=21")
 
 
 def test_corrupt_gzip_is_recognised(spark, tmp_path):
@@ -266,6 +281,32 @@ def test_corrupt_gzip_is_recognised(spark, tmp_path):
     assert sorted(os.path.basename(r["path"]) for r in bad) == ["cut.gz", "flip.gz", "text.gz"]
 
 
+@pytest.mark.parametrize("piece", [1, 7, 1 << 10])
+def test_files_are_verified_in_pieces(spark, tmp_path, piece):
+    members = b"".join(gzip.compress(os.urandom(50) * 40) for _ in range(3))
+    want = {"good.gz": None, "cut.gz": "truncated", "member.gz": None, "flip.gz": "corrupt", "tail.gz": "corrupt", "none.gz": None}
+    data = {"good.gz": members[: len(members)], "cut.gz": members[:-1], "member.gz": gzip.compress(b""), "tail.gz": members + b"more", "none.gz": b""}
+    data["flip.gz"] = members[:30] + bytes([members[30] ^ 255]) + members[31:]
+    for name, content in data.items():
+        (tmp_path / name).write_bytes(content)
+    got = {os.path.basename(r["path"]): r["error"] for r in gzip_errors(spark, [f"file:{tmp_path}/{n}" for n in data], piece).collect()}
+    assert {n: e and e.split()[0] for n, e in got.items()} == want
+    assert gzip_errors(spark, []).count() == 0
+
+
+def test_verifying_needs_little_memory(tmp_path):
+    """Half a gigabyte of text from a small file, in one process."""
+    import tracemalloc
+
+    with gzip.open(tmp_path / "big.gz", "wb", compresslevel=1) as f:
+        for _ in range(512):
+            f.write(b"\0" * (1 << 20))
+    reader = data_source()(options={"files": json.dumps([str(tmp_path / "big.gz")])}).reader(None)
+    tracemalloc.start()
+    assert [e for p in reader.partitions() for _, e in reader.read(p)] == [None]
+    assert tracemalloc.get_traced_memory()[1] < 16 << 20
+
+
 def test_backfill_summary(spark):
     df = spark.createDataFrame([("success",), ("success",), ("failed",)], "status string")
     assert rows(ingest.backfill_summary(df)) == [("failed", 1), ("success", 2)]

@@ -7,8 +7,9 @@ from test_ingest import line
 from pyspark.sql import functions as F
 
 from hourlake.functions import date_key
-from hourlake.plans import marts, silver
+from hourlake.plans import ingest, marts, silver
 from hourlake.sources.bronze import read_bronze
+from hourlake.sources.landing import hour_range
 from hourlake.sources.manifest import current
 from hourlake.streaming import dedupe_stream, hourly_volume_stream, stream_to_bronze, upsert_stream, volume_to_table
 from hourlake.streaming.events import VOLUME_SCHEMA
@@ -143,3 +144,39 @@ def test_a_repeated_micro_batch_changes_nothing(spark, tmp_path):
         ingest_batch(part(n), b, out, log)
     assert sorted(r["event_id"] for r in read_bronze(spark, out).collect()) == [1, 2]
     assert ingest.read_run_log(spark, log).count() == 2
+
+
+def test_unreadable_files_do_not_stop_the_stream(spark, tmp_path):
+    landing, out, cp, log, bad = (str(tmp_path / n) for n in ("landing", "bronze", "cp", "log", "bad"))
+    ids = lambda: sorted(r[0] for r in read_bronze(spark, out).select("event_id").collect())
+    run = lambda: stream_to_bronze(spark, landing, out, cp, TYPES, run_log=log, quarantine=bad).awaitTermination()
+    land(landing, "2024-01-15-5.json.gz", [line(1), "{bad"])
+    land(landing, "2024-01-15-6.json.gz", [line(i) for i in range(100, 3000)])
+    whole = open(f"{landing}/2024-01-15-6.json.gz", "rb").read()
+    open(f"{landing}/2024-01-15-6.json.gz", "wb").write(whole[:-20])
+    open(f"{landing}/2024-01-15-7.json.gz", "wb").write(b"no gzip at all")
+    land(landing, "2024-01-15-8.json.gz", [line(2)])
+    run()
+    assert ids() == [1, 2]
+    runs = ingest.read_run_log(spark, log)
+    got = {r["hour_processed"].hour: (r["status"], (r["error_message"] or "").split()[0:1]) for r in runs.collect()}
+    assert got == {5: ("success", []), 6: ("failed", ["truncated"]), 7: ("failed", ["corrupt"]), 8: ("success", [])}
+    # the stream goes on, and a batch takes the failed hours when their files are whole
+    land(landing, "2024-01-15-9.json.gz", [line(3)])
+    run()
+    assert ids() == [1, 2, 3]
+    open(f"{landing}/2024-01-15-6.json.gz", "wb").write(whole)
+    hours = hour_range(spark, datetime(2024, 1, 15, 5), datetime(2024, 1, 15, 9))
+    states = {r["hour"].hour: r["status"] for r in ingest.ingest_hours(spark, landing, out, log, hours, event_types=TYPES).collect()}
+    assert states == {5: "skipped", 6: "success", 7: "failed", 8: "skipped", 9: "skipped"}
+    assert len(ids()) == 3 + 2900
+
+
+def test_a_micro_batch_of_only_unreadable_files(spark, tmp_path):
+    landing, out, cp, log = (str(tmp_path / n) for n in ("landing", "bronze", "cp", "log"))
+    os.makedirs(landing)
+    open(f"{landing}/2024-01-15-7.json.gz", "wb").write(b"no gzip at all")
+    for _ in range(2):
+        stream_to_bronze(spark, landing, out, cp, TYPES, run_log=log).awaitTermination()
+    assert [r["status"] for r in ingest.read_run_log(spark, log).collect()] == ["failed"]
+    assert read_bronze(spark, out).count() == 0
