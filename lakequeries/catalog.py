@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 import gzip
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -27,7 +27,17 @@ from hourlake.sources.manifest import current
 from hourlake.sources.scratch import scratch_path, written
 from hourlake.sources.seeds import event_types
 from hourlake.sources.tables import append, compacted, publish, published
-from hourlake.streaming import dedupe_stream, hourly_volume_stream, stream_to_bronze, upsert_stream, volume_to_table
+from hourlake.streaming import (
+    dedupe_stream,
+    hourly_volume_stream,
+    late_rows,
+    recovered_volume,
+    stored_volume,
+    stream_to_bronze,
+    upsert_stream,
+    volume_and_late_rows,
+    volume_to_table,
+)
 from lakequeries import adapter
 from lakequeries.adapter import NOW, bronze, feed, raw_lines, runs, table
 
@@ -428,18 +438,19 @@ def g02_scd2_history(spark, sf):
 
 @query
 def g02_scd2_snapshot(spark, sf):
-    """Three scheduled snapshots, each seeing the ten days before it."""
+    """A scheduled snapshot after every ten days of the whole range, each seeing these days."""
     repos = silver.stg_repos(_silver_like(feed(spark, sf)))
-    versions = None
-    for start, run in ((1, 11), (11, 21), (21, 31)):
-        day = F.dayofmonth("event_date")
-        seen = repos.filter((day >= start) & (day < run))
-        if versions is None:
-            none = seen.limit(0).select("repo_id", *gold.REPO_ATTRIBUTES)
-            versions = none.withColumns(
-                {"valid_from": F.lit(None).cast("timestamp_ntz"), "valid_to": F.lit(None).cast("timestamp_ntz")}
-            )
-        versions = gold.dim_repo_snapshot(seen, versions, datetime(2024, 1, run))
+    repos = written(repos, "repos")
+    never = F.lit(None).cast("timestamp_ntz")
+    none = repos.limit(0).select("repo_id", *gold.REPO_ATTRIBUTES)
+    versions = none.withColumns({"valid_from": never, "valid_to": never})
+    start, last = repos.agg(F.min("event_date"), F.max("event_date")).first()
+    while start is not None and start <= last:
+        run = start + timedelta(days=10)
+        seen = repos.filter((F.col("event_date") >= F.lit(start)) & (F.col("event_date") < F.lit(run)))
+        # each run publishes its state, and the next one starts from there
+        versions = written(gold.dim_repo_snapshot(seen, versions, datetime(run.year, run.month, run.day)), "snapshot")
+        start = run
     return versions
 
 
@@ -1042,3 +1053,19 @@ def t05_late_data(spark, sf):
     return full.join(streamed, ["date_key", "event_hour"], "left").select(
         "date_key", "event_hour", F.col("event_count").alias("streamed_count"), "recovered_count"
     )
+
+
+@query
+def t05b_late_rows(spark, sf):
+    """As ``t05_late_data``, but rows past the delay come out at the side: streamed and late together equal the batch."""
+    rows = feed(spark, sf)
+    path, side, checkpoint, source = (scratch_path(spark, x) for x in ("volume", "late", "cp", "stream-in"))
+    late = F.col("event_type") == "IssuesEvent"
+    for part in (rows.filter(~late), rows.filter(late)):
+        part.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.schema).parquet(source)
+        volume_and_late_rows(stream, path, side, checkpoint).awaitTermination()
+    streamed, missed = stored_volume(spark, path), late_rows(spark, side, rows.schema)
+    return recovered_volume(streamed, missed).withColumnRenamed("event_count", "recovered_count").join(
+        streamed.withColumnRenamed("event_count", "streamed_count"), ["date_key", "event_hour"], "left"
+    )

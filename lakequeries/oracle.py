@@ -308,9 +308,8 @@ _q("g02_scd2_snapshot", """
 , cur AS (
   SELECT repo_id, repo_name, repo_owner, repo_short_name, run FROM (
     SELECT *, row_number() OVER (PARTITION BY repo_id, run ORDER BY event_date DESC) AS rn FROM (
-      SELECT *, CASE WHEN day(event_date) < 11 THEN TIMESTAMP '2024-01-11'
-        WHEN day(event_date) < 21 THEN TIMESTAMP '2024-01-21' WHEN day(event_date) < 31 THEN TIMESTAMP '2024-01-31' END AS run
-      FROM repos) WHERE run IS NOT NULL) WHERE rn = 1
+      SELECT *, CAST(first + CAST(10 * ((event_date - first) // 10 + 1) AS INTEGER) AS TIMESTAMP) AS run
+      FROM repos, (SELECT min(event_date) AS first FROM repos))) WHERE rn = 1
 ), marked AS (
   SELECT *, lag(repo_name) OVER w AS pn, lag(repo_owner) OVER w AS po, row_number() OVER w AS rn
   FROM cur WINDOW w AS (PARTITION BY repo_id ORDER BY run)
@@ -601,3 +600,4 @@ h AS (
 )
 SELECT date_key, event_hour, nullif(count(*) FILTER (WHERE open OR NOT late), 0) AS streamed_count, count(*) AS recovered_count
 FROM h GROUP BY 1, 2""", EV)
+SQL["t05b_late_rows"] = SQL["t05_late_data"]

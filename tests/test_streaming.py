@@ -11,7 +11,17 @@ from hourlake.plans import ingest, marts, silver
 from hourlake.sources.bronze import read_bronze
 from hourlake.sources.landing import hour_range
 from hourlake.sources.manifest import current
-from hourlake.streaming import dedupe_stream, hourly_volume_stream, stream_to_bronze, upsert_stream, volume_to_table
+from hourlake.streaming import (
+    dedupe_stream,
+    hourly_volume_stream,
+    late_rows,
+    recovered_volume,
+    stored_volume,
+    stream_to_bronze,
+    upsert_stream,
+    volume_and_late_rows,
+    volume_to_table,
+)
 from hourlake.streaming.events import VOLUME_SCHEMA
 
 TYPES = ("PushEvent", "PullRequestEvent")
@@ -180,3 +190,29 @@ def test_a_micro_batch_of_only_unreadable_files(spark, tmp_path):
         stream_to_bronze(spark, landing, out, cp, TYPES, run_log=log).awaitTermination()
     assert [r["status"] for r in ingest.read_run_log(spark, log).collect()] == ["failed"]
     assert read_bronze(spark, out).count() == 0
+
+
+def test_late_rows_come_out_at_the_side(spark, tmp_path):
+    source, table, side, cp = (str(tmp_path / n) for n in ("in", "volume", "late", "cp"))
+    schema = bronze(spark, event(1)).schema
+
+    def run():
+        volume_and_late_rows(spark.readStream.schema(schema).parquet(source), table, side, cp, pieces=3).awaitTermination()
+        late = late_rows(spark, side, schema)
+        streamed = stored_volume(spark, table)
+        return rows(streamed), sorted(r["event_id"] for r in late.collect()), rows(recovered_volume(streamed, late))
+
+    def batch(*events):
+        return rows(marts.hourly_volume(bronze(spark, *events).withColumn("date_key", date_key("created_at"))))
+
+    first = [event(i, created_at=ts(f"2024-01-15T{10 + i // 3:02d}:{i:02d}:00"), repo_id=None if i % 4 else 7) for i in range(15)]
+    add(bronze(spark, *first), source)
+    assert run() == (batch(*first), [], batch(*first))
+    # the newest is 14:14, so hours that ended by 12:14 are closed
+    second = [event(90, created_at=ts("2024-01-15T10:30:00"), pr_number=2**31 - 1), event(91, created_at=ts("2024-01-15T13:30:00")), event(2**60 + 1, created_at=ts("2024-01-14T00:00:00"))]
+    add(bronze(spark, *second), source)
+    streamed, late, whole = run()
+    assert streamed == batch(*first, second[1]) and late == [90, 2**60 + 1] and whole == batch(*first, *second)
+    kept = {r["event_id"]: r for r in late_rows(spark, side, schema).collect()}
+    assert kept[90].asDict() == bronze(spark, second[0]).first().asDict()
+    assert run() == (streamed, late, whole)
