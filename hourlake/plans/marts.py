@@ -15,7 +15,7 @@ def daily_repo_activity(
     """Per repository, day and category: events, distinct actors, pushes.
 
     Events outside the calendar or of an unknown type drop out (the foreign-key checks report them).
-    ``distinct_contributors`` does not add up over rows; recompute it from the fact for roll-ups.
+    ``distinct_contributors`` does not add up over rows; see ``contributors`` for weeks and months.
     """
     # Both sides are bounded by construction: a calendar of days and the list of event types.
     days = F.broadcast(dim_date.select("date_key", "date_day"))
@@ -34,6 +34,34 @@ def daily_repo_activity(
     )
 
 
+CONTRIBUTORS = "repo_id bigint, category string, bucket bigint, actors binary, date_key int"
+
+
+def daily_contributors(fact: DataFrame, dim_event_type: DataFrame) -> DataFrame:
+    """Who acted, as exact bitmaps that can be merged: ``repo_id, date_key, category, bucket, actors``.
+
+    A bitmap holds the actors of one range of 32,768 ids; it is mostly zeros and small when stored. A day's rows depend
+    on that day alone, so a table of them is kept up to date by replacing the days that change.
+    """
+    types = F.broadcast(dim_event_type.select("event_type_key", "category"))
+    rows = fact.filter(F.col("repo_id").isNotNull() & F.col("actor_id").isNotNull()).select("repo_id", "date_key", "event_type_key", "actor_id")
+    # Each actor once before bits are set: a bitmap per row would be far larger than the row.
+    each = rows.join(types, "event_type_key").select("repo_id", "category", "date_key", "actor_id").distinct()
+    return each.groupBy("repo_id", "category", F.bitmap_bucket_number("actor_id").alias("bucket"), "date_key").agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("actor_id")).alias("actors")
+    ).select("repo_id", "category", "bucket", "actors", "date_key")
+
+
+def contributors(daily: DataFrame, unit: str) -> DataFrame:
+    """``repo_id, category, period, distinct_contributors`` by ``week`` or ``month`` (``period`` is its first day).
+
+    Bitmaps of the days are merged, never counts; the fact is not read.
+    """
+    day = F.to_date(F.col("date_key").cast("string"), "yyyyMMdd")
+    merged = daily.groupBy("repo_id", "category", F.trunc(day, unit).alias("period"), "bucket").agg(F.bitmap_or_agg("actors").alias("actors"))
+    return merged.groupBy("repo_id", "category", "period").agg(F.sum(F.bitmap_count("actors")).alias("distinct_contributors"))
+
+
 def pr_lifecycle_mart(fact: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """One row per merge with a known opening, next to its repository's p50 and p95.
 

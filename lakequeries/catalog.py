@@ -16,7 +16,7 @@ from hourlake.operators.dedupe import latest_per_key, latest_value
 from hourlake.operators.pairing import open_merge_pairs
 from hourlake.operators.percentiles import grouped_percentiles
 from hourlake.operators.scd import scd1_upsert, scd2_from_history
-from hourlake.operators.upsert import newer_than, unconsumed, batches, upsert, upsert_table
+from hourlake.operators.upsert import batches, newer_than, replace_partitions, unconsumed, upsert, upsert_table
 from hourlake.plans.build import LakePaths, build
 from hourlake.plans import analytics, gold, health, ingest, marts, quality, silver
 from hourlake.schemas import BRONZE, FACT_EVENTS
@@ -621,6 +621,26 @@ def m01b_activity_from_fact(spark, sf):
     return marts.daily_repo_activity(_fact(spark, sf), dim_date(spark), gold.dim_event_type(spark))
 
 
+def _contributors(spark, sf, unit: str) -> DataFrame:
+    """Rolled up from stored bitmaps per day; half of the days are replaced once more, as a late batch does."""
+    path, fact, types = scratch_path(spark, "contributors"), _feed_fact(spark, sf), gold.dim_event_type(spark)
+    days = sorted(r[0] for r in fact.select("date_key").distinct().collect())
+    replace_partitions(marts.daily_contributors(fact, types), path, "date_key", days)
+    some = days[::2]
+    replace_partitions(marts.daily_contributors(fact.filter(F.col("date_key").isin(some)), types), path, "date_key", some)
+    return marts.contributors(current(spark, path, marts.CONTRIBUTORS), unit)
+
+
+@query
+def m01c_weekly_contributors(spark, sf):
+    return _contributors(spark, sf, "week")
+
+
+@query
+def m01d_monthly_contributors(spark, sf):
+    return _contributors(spark, sf, "month")
+
+
 @query
 def m02_lifecycle_percentiles(spark, sf):
     d = _lifecycle(spark, sf)

@@ -375,6 +375,10 @@ SELECT CAST(strftime(l_shipdate, '%Y%m%d') AS INTEGER) AS date_key, count(*) AS
 
 _q("m01_daily_activity", "SELECT * FROM activity", EV + DIM_DATE + TYPES + activity("ev"))
 _q("m01b_activity_from_fact", "SELECT * FROM activity", FACT + DIM_DATE + TYPES + activity("fact"))
+for _name, _unit in (("m01c_weekly_contributors", "week"), ("m01d_monthly_contributors", "month")):
+    _q(_name, f"""
+SELECT f.repo_id, t.category, CAST(date_trunc('{_unit}', f.created_at) AS DATE) AS period, count(DISTINCT f.actor_id) AS distinct_contributors
+FROM ev f JOIN event_types t ON f.event_type = t.event_type WHERE f.repo_id IS NOT NULL GROUP BY ALL""", EV + TYPES)
 _q("m02_lifecycle_percentiles", """
 SELECT repo_id, pr_number, opened_at, merged_at, round(CAST(hours_to_merge AS DOUBLE), 6) AS hours_to_merge,
   round(CAST(repo_p50_hours_to_merge AS DOUBLE), 6) AS repo_p50_hours_to_merge,
@@ -480,6 +484,78 @@ _CHECKS = [
 _q("q09_severity", "SELECT *, CASE WHEN violations = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status FROM ("
    + " UNION ALL ".join(f"SELECT 'test.{n}' AS unique_id, '{s}' AS severity, count(*) AS violations FROM ({q})" for n, s, q in _CHECKS)
    + ")")
+# Tables of the lake that other queries do not need as such.
+_LAKE = FACT + REPOS + DIM_DATE + TYPES + activity("fact") + "," + RUNS + """, actors AS (
+  SELECT actor_id, actor_login FROM (
+    SELECT *, row_number() OVER (PARTITION BY actor_id ORDER BY created_at DESC, event_id DESC) AS rn FROM stg) WHERE rn = 1
+), dim_actor AS (
+  SELECT md5(CAST(actor_id AS VARCHAR)) AS actor_key, actor_id, actor_login FROM actors
+), dim_event_type AS (
+  SELECT md5(event_type) AS event_type_key, * FROM event_types
+), volume AS (
+  SELECT date_key, CAST(extract(hour FROM created_at) AS BIGINT) AS event_hour, count(*) AS event_count FROM fact GROUP BY ALL
+), merges AS (
+  SELECT repo_id, pr_number, hours_to_merge FROM fact WHERE is_pr_merged AND hours_to_merge IS NOT NULL
+), health AS (
+  SELECT (SELECT count(*) FROM runs WHERE started_at > coalesce((SELECT max(started_at) FROM runs WHERE status <> 'failed'), TIMESTAMP '1970-01-01')) AS consecutive_failures,
+    date_diff('second', max(created_at), TIMESTAMP '2024-01-31') / 3600.0 AS data_age_hours FROM fact
+), latest_day AS (
+  SELECT max(date_day) AS d FROM volume JOIN dim_date USING (date_key)
+), past AS (
+  SELECT event_hour, avg(event_count) AS m, stddev_samp(event_count) AS s FROM volume JOIN dim_date USING (date_key), latest_day
+  WHERE date_day >= d - INTERVAL 7 DAY AND date_day < d GROUP BY 1
+)"""
+_PLACE = {
+    "stg_events": "stg", "stg_repos": "repos", "stg_actors": "actors", "pr_lifecycle": "pairs", "pipeline_runs": "runs", "dim_repo": "dim_repo",
+    "dim_actor": "dim_actor", "dim_date": "dim_date", "dim_event_type": "dim_event_type", "fact_events": "fact", "mart_daily_repo_activity": "activity",
+    "mart_pr_lifecycle": "merges", "mart_hourly_volume": "volume", "mart_pipeline_health": "health",
+}
+# What the suite declares: columns that are never NULL, keys, allowed values, parents and predicates ("~" only warns).
+_NEVER_NULL = {
+    "stg_events": "event_id event_type created_at actor_id actor_login event_date event_hour ~repo_id", "stg_repos": "repo_id event_date repo_name",
+    "stg_actors": "actor_id actor_login", "pr_lifecycle": "merge_event_id hours_to_merge", "pipeline_runs": "run_id status",
+    "dim_repo": "repo_key repo_id valid_from", "dim_actor": "actor_key actor_id", "dim_date": "date_key date_day",
+    "dim_event_type": "event_type_key event_type category", "fact_events": "event_id ingested_at actor_key date_key event_type_key is_pr_merged",
+    "mart_daily_repo_activity": "repo_id event_count", "mart_pr_lifecycle": "hours_to_merge", "mart_hourly_volume": "event_count",
+    "mart_pipeline_health": "consecutive_failures data_age_hours",
+}
+_KEYS = {
+    "stg_events": ["event_id"], "stg_actors": ["actor_id"], "pr_lifecycle": ["merge_event_id", "repo_id, pr_number"], "pipeline_runs": ["run_id"],
+    "dim_repo": ["repo_key"], "dim_actor": ["actor_key", "actor_id"], "dim_date": ["date_key", "date_day"], "dim_event_type": ["event_type_key", "event_type"],
+    "fact_events": ["event_id"], "mart_daily_repo_activity": ["repo_id, date_key, category"], "mart_pr_lifecycle": ["repo_id, pr_number"],
+    "mart_hourly_volume": ["date_key, event_hour"],
+}
+_ALLOWED = {
+    ("stg_events", "event_type"): "SELECT event_type FROM event_types", ("pipeline_runs", "status"): "'success', 'failed'",
+    ("dim_event_type", "category"): "'code', 'collaboration', 'social'",
+}
+_PARENTS = {"repo_key": ("dim_repo", "warn"), "actor_key": ("dim_actor", "error"), "date_key": ("dim_date", "error"), "event_type_key": ("dim_event_type", "error")}
+
+
+def _declared() -> list[tuple[str, str, str]]:
+    """Name, severity and violating rows of every declared check."""
+    out = []
+    for table, columns in _NEVER_NULL.items():
+        for c in columns.split():
+            out.append((f"{table}.not_null_{c.lstrip('~')}", "warn" if c[0] == "~" else "error", f"SELECT 1 FROM {_PLACE[table]} WHERE {c.lstrip('~')} IS NULL"))
+    for table, keys in _KEYS.items():
+        for k in keys:
+            present = "" if "," in k else f"WHERE {k} IS NOT NULL"
+            out.append((f"{table}.unique_{k.replace(', ', '_')}", "error", f"SELECT 1 FROM {_PLACE[table]} {present} GROUP BY {k} HAVING count(*) > 1"))
+    for (table, c), values in _ALLOWED.items():
+        out.append((f"{table}.accepted_values_{c}", "warn", f"SELECT 1 FROM {_PLACE[table]} WHERE {c} NOT IN ({values})"))
+    for c, (parent, severity) in _PARENTS.items():
+        out.append((f"fact_events.relationships_{c}", severity, f"SELECT DISTINCT {c} FROM fact WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {c} FROM {parent})"))
+    out.append(("stg_events.no_future_events", "error", "SELECT 1 FROM stg WHERE created_at > TIMESTAMP '2024-01-31'"))
+    out.append(("pr_lifecycle.merge_after_open", "error", "SELECT 1 FROM pairs WHERE merged_at < opened_at"))
+    out.append(("mart_hourly_volume.hourly_volume_not_anomalous", "warn", """SELECT 1 FROM volume JOIN dim_date USING (date_key) JOIN latest_day ON date_day = d
+      JOIN past USING (event_hour) WHERE s > 0 AND abs(event_count - m) > 3 * s"""))
+    return out
+
+
+_q("q10b_declared_checks", "SELECT *, CASE WHEN violations = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status FROM ("
+   + " UNION ALL ".join(f"SELECT 'test.{n}' AS unique_id, '{s}' AS severity, count(*) AS violations FROM ({q})" for n, s, q in _declared())
+   + ")", _LAKE)
 _q("q10_summary", """
 SELECT 'run' AS run_id, TIMESTAMP '2024-01-31' AS recorded_at, count(*) AS total_tests,
   count(*) FILTER (WHERE event_type IN ('click', 'view')) AS passed_tests,

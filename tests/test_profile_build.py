@@ -173,6 +173,12 @@ def test_marts_follow_the_fact(spark, lake):
     assert rows(got.select(*want.columns)) == rows(want)
     volume = current(spark, paths.gold("mart_hourly_volume"), VOLUME)
     assert rows(volume.select("event_hour", "event_count")) == rows(marts.hourly_volume(fact).select("event_hour", "event_count"))
+    daily = current(spark, paths.gold("contributors"), marts.CONTRIBUTORS)
+    whole = fact.filter("repo_id is not null").join(gold.dim_event_type(spark).select("event_type_key", "category"), "event_type_key")
+    for unit in ("week", "month"):
+        period = F.trunc("created_at", unit).alias("period")
+        want = whole.groupBy("repo_id", "category", period).agg(F.countDistinct("actor_id").alias("distinct_contributors"))
+        assert rows(marts.contributors(daily, unit)) == rows(want)
 
 
 def test_only_repeated_merges_fail_the_checks(lake):
