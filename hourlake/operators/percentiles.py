@@ -14,11 +14,13 @@ def grouped_percentiles(
     unit: float,
     probs: dict[str, float],
     low_bits: int = 16,
+    weight: str | None = None,
 ) -> DataFrame:
     """``keys…`` and one column per entry of ``probs`` (``{column name: probability}``).
 
     ``code`` is the value as a whole number of ``1/unit`` (seconds for hours with ``unit=3600``);
-    the result is in the original unit. NULL codes are ignored; groups without values are absent.
+    the result is in the original unit. NULL codes are ignored; groups without values are absent. With ``weight``, a row
+    stands for that many equal values: stored counts of values, say one table of them per day, merge to exact percentiles.
 
     Selection by counting: equal values are first counted (partial aggregation, shuffled by value,
     so a huge group is spread), then a coarse histogram of ``code >> low_bits`` finds the few buckets
@@ -28,10 +30,10 @@ def grouped_percentiles(
     keys = list(keys) or ["_all"]
     src = df if keys != ["_all"] else df.withColumn("_all", F.lit(0))
     counts = (
-        src.select(*keys, code.cast("bigint").alias("_code"))
+        src.select(*keys, code.cast("bigint").alias("_code"), (F.lit(1) if weight is None else F.col(weight)).cast("bigint").alias("_w"))
         .filter(F.col("_code").isNotNull())
         .groupBy(*keys, "_code")
-        .agg(F.count("*").alias("_n"))
+        .agg(F.count("*").alias("_n") if weight is None else F.sum("_w").alias("_n"))
         .withColumn("_bucket", F.shiftright("_code", low_bits))
     )
     by_key = Window.partitionBy(*keys)

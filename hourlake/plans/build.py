@@ -79,7 +79,7 @@ class LakePaths:
 SILVER = ("stg_events", "stg_repos", "stg_actors", "pr_lifecycle")
 REBUILT = ("dim_date", "dim_event_type", "dim_actor", "dim_repo", "opened_prs", "mart_pr_lifecycle", "mart_pipeline_health")
 #: Tables of which only touched days are written anew.
-CHANGED = ("fact_events", "mart_daily_repo_activity", "mart_hourly_volume", "contributors")
+CHANGED = ("fact_events", "mart_daily_repo_activity", "mart_hourly_volume", "contributors", "merge_paces")
 
 
 def _version(spark: SparkSession, path: str, number: int | None, schema) -> DataFrame:
@@ -161,13 +161,15 @@ def build(
             marts.daily_repo_activity(changed, t["dim_date"], t["dim_event_type"]), activity, "date_key", days
         )
         replace_partitions(marts.hourly_volume(changed), volume, "date_key", days)
+        replace_partitions(marts.daily_paces(changed), paths.gold("merge_paces"), "date_key", days)
         replace_partitions(marts.daily_contributors(changed, t["dim_event_type"]), paths.gold("contributors"), "date_key", days)
     # Only now: a run that dies before this line takes the same batches again, with the same result.
     append(taken.coalesce(1), paths.ledger)
     t["mart_daily_repo_activity"] = current(spark, activity, ACTIVITY)
     t["mart_hourly_volume"] = current(spark, volume, VOLUME)
     t["contributors"] = current(spark, paths.gold("contributors"), marts.CONTRIBUTORS)
-    t["mart_pr_lifecycle"] = _publish(marts.pr_lifecycle_mart(fact), paths.gold("mart_pr_lifecycle"))
+    paces = marts.repo_paces(current(spark, paths.gold("merge_paces"), marts.PACES))
+    t["mart_pr_lifecycle"] = _publish(marts.pr_lifecycle_mart(fact, paces=paces), paths.gold("mart_pr_lifecycle"))
     health = pipeline_health(t["pipeline_runs"], fact, now)
     t["mart_pipeline_health"] = _publish(health, paths.gold("mart_pipeline_health"))
 

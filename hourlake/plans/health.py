@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hourlake.functions import elapsed_hours, ntz
+from hourlake.functions import date_key, elapsed_hours, ntz
 from hourlake.operators.percentiles import grouped_percentiles
 
 
@@ -25,16 +25,28 @@ def run_rates(runs: DataFrame, now: datetime) -> DataFrame:
     return out
 
 
+DURATIONS = "micros bigint, runs bigint, date_key int"
+_DURATION = {"p50_duration_s": 0.5, "p95_duration_s": 0.95}
+
+
 def duration_percentiles(runs: DataFrame) -> DataFrame:
     """Exact p50 and p95 of the run time over the whole history (microsecond resolution)."""
-    return grouped_percentiles(
-        runs,
-        [],
-        F.round(F.col("duration_s") * 1_000_000),
-        1_000_000.0,
-        {"p50_duration_s": 0.5, "p95_duration_s": 0.95},
-        low_bits=20,
-    )
+    return grouped_percentiles(runs, [], _micros(), 1_000_000.0, _DURATION, low_bits=20)
+
+
+def _micros() -> Column:
+    return F.round(F.col("duration_s") * 1_000_000)
+
+
+def daily_durations(runs: DataFrame) -> DataFrame:
+    """How often each run time occurs, by the day of the start: ``micros, runs, date_key``; days can be counted one by one."""
+    rows = runs.select(_micros().cast("bigint").alias("micros"), date_key("started_at").alias("date_key"))
+    return rows.groupBy("micros", "date_key").agg(F.count("*").alias("runs")).select("micros", "runs", "date_key")
+
+
+def merged_duration_percentiles(daily: DataFrame) -> DataFrame:
+    """As ``duration_percentiles``, from stored counts of all days."""
+    return grouped_percentiles(daily, [], F.col("micros"), 1_000_000.0, _DURATION, low_bits=20, weight="runs")
 
 
 def failure_streak(runs: DataFrame) -> DataFrame:

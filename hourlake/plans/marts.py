@@ -62,22 +62,37 @@ def contributors(daily: DataFrame, unit: str) -> DataFrame:
     return merged.groupBy("repo_id", "category", "period").agg(F.sum(F.bitmap_count("actors")).alias("distinct_contributors"))
 
 
-def pr_lifecycle_mart(fact: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+PACES = "repo_id bigint, seconds bigint, merges bigint, date_key int"
+_PACE = {"repo_p50_hours_to_merge": 0.5, "repo_p95_hours_to_merge": 0.95}
+
+
+def daily_paces(fact: DataFrame) -> DataFrame:
+    """How often each time to merge occurs, ``repo_id, seconds, merges, date_key``: a day's rows depend on that day alone.
+
+    The counts of all days merge to exact percentiles (``repo_paces``), so only days that change are counted anew.
+    """
+    rows = fact.filter(F.col("is_pr_merged") & F.col("hours_to_merge").isNotNull())
+    seconds = F.round(F.col("hours_to_merge") * 3600).cast("bigint").alias("seconds")
+    return rows.groupBy("repo_id", seconds, "date_key").agg(F.count("*").alias("merges")).select("repo_id", "seconds", "merges", "date_key")
+
+
+def repo_paces(daily: DataFrame) -> DataFrame:
+    """``repo_id`` with its exact p50 and p95 hours to merge, from stored counts."""
+    return grouped_percentiles(daily, ["repo_id"], F.col("seconds"), 3600.0, _PACE, weight="merges")
+
+
+def pr_lifecycle_mart(fact: DataFrame, heavy_rows: int = HEAVY_ROWS, paces: DataFrame | None = None) -> DataFrame:
     """One row per merge with a known opening, next to its repository's p50 and p95.
 
-    The percentiles come from an aggregate, which adaptive execution can't split in a join, so a
-    repository with very many merges is salted.
+    The percentiles (``paces``, or else counted from the fact) come from an aggregate, which adaptive execution
+    can't split in a join, so a repository with very many merges is salted.
     """
     rows = fact.filter(F.col("is_pr_merged") & F.col("hours_to_merge").isNotNull()).select(
         "repo_id", "pr_number", "created_at", "hours_to_merge"
     )
-    pace = grouped_percentiles(
-        rows,
-        ["repo_id"],
-        F.round(F.col("hours_to_merge") * 3600),
-        3600.0,
-        {"repo_p50_hours_to_merge": 0.5, "repo_p95_hours_to_merge": 0.95},
-    )
+    pace = paces
+    if pace is None:
+        pace = grouped_percentiles(rows, ["repo_id"], F.round(F.col("hours_to_merge") * 3600), 3600.0, _PACE)
     return salted_join(rows, pace, ["repo_id"], "inner", heavy_rows).select(
         "repo_id",
         "pr_number",

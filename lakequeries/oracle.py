@@ -383,6 +383,9 @@ _q("m02_lifecycle_percentiles", """
 SELECT repo_id, pr_number, opened_at, merged_at, round(CAST(hours_to_merge AS DOUBLE), 6) AS hours_to_merge,
   round(CAST(repo_p50_hours_to_merge AS DOUBLE), 6) AS repo_p50_hours_to_merge,
   round(CAST(repo_p95_hours_to_merge AS DOUBLE), 6) AS repo_p95_hours_to_merge FROM lifecycle""", LIFECYCLE)
+_q("m02c_percentiles_by_day", """
+SELECT DISTINCT repo_id, round(CAST(repo_p50_hours_to_merge AS DOUBLE), 6) AS repo_p50_hours_to_merge,
+  round(CAST(repo_p95_hours_to_merge AS DOUBLE), 6) AS repo_p95_hours_to_merge FROM lifecycle""", LIFECYCLE)
 _q("m03_back_derived_start", """
 SELECT repo_id, pr_number, merged_at - date_diff('second', opened_at, merged_at) * INTERVAL 1 SECOND AS opened_at, merged_at
 FROM pairs""", EV + pairs("ev"))
@@ -417,6 +420,7 @@ _q("m06_run_rates", "SELECT " + _rates("TIMESTAMP '2024-01-20 12:00:00'") + " FR
 _q("m07_duration_percentiles", """
 SELECT round(quantile_cont(duration_s, 0.5), 6) AS p50_duration_s, round(quantile_cont(duration_s, 0.95), 6) AS p95_duration_s
 FROM runs""", RUNS)
+SQL["m07b_durations_by_day"] = SQL["m07_duration_percentiles"]
 _q("m08_failure_streak", f"SELECT {STREAK} AS consecutive_failures", RUNS + ORDERED)
 _q("m08b_long_streak", f"SELECT {STREAK} AS consecutive_failures", RUNS + """, ordered AS (
   SELECT CASE WHEN started_at < TIMESTAMP '2024-01-16' THEN status ELSE 'failed' END AS status,

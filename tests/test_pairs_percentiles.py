@@ -76,6 +76,16 @@ def test_percentiles_equal_numpy(spark, low_bits):
     assert whole == pytest.approx(np.quantile([v / 10 for _, v in data if v is not None], 0.5))
 
 
+def test_stored_counts_merge_to_exact_percentiles(spark):
+    rnd = random.Random(4)
+    data = [(g, rnd.randrange(0, 40) if rnd.random() < 0.8 else rnd.randrange(10**6), rnd.randrange(20)) for g in range(3) for _ in range(400)]
+    rows_ = spark.createDataFrame(data, "g int, v int, day int").repartition(5)
+    daily = rows_.groupBy("g", "v", "day").count()
+    probs = {"p50": 0.5, "p95": 0.95}
+    want = rows(grouped_percentiles(rows_, ["g"], F.col("v"), 1.0, probs, 4))
+    assert rows(grouped_percentiles(daily, ["g"], F.col("v"), 1.0, probs, 4, weight="count")) == want
+
+
 def test_percentiles_of_nothing(spark):
     df = spark.createDataFrame([], "v int")
     assert grouped_percentiles(df, [], F.col("v"), 1.0, {"m": 0.5}).collect() == []
