@@ -99,8 +99,27 @@ def relationships(table: str, col: str, to: str, field: str, severity: str = ERR
 _OUTCOME = ("unique_id", "severity", "violations")
 
 
-def run_checks(checks: Sequence[Check], tables: Tables) -> DataFrame:
-    """``unique_id, severity, violations, status`` per check; status is pass, warn or fail."""
+STATES = "unique_id string, violations bigint"
+
+
+def row_states(checks: Sequence[Check], table: str, rows: DataFrame, by: str) -> DataFrame:
+    """``unique_id, violations, <by>``: violations of the table's row-level checks for each value of ``by``, in one scan.
+
+    Such counts add up, so they can be stored by partition and only partitions that change need to be looked at again.
+    Values of ``by`` without any violation have rows too (their counts are zero).
+    """
+    fused = [c for c in checks if c.table == table and c.row_test is not None]
+    counts = rows.groupBy(by).agg(*[F.count_if(c.row_test).alias(f"c{i}") for i, c in enumerate(fused)])
+    each = F.array(*[F.struct(F.lit(c.unique_id).alias("unique_id"), F.col(f"c{i}").alias("violations")) for i, c in enumerate(fused)])
+    return counts.select(F.inline(each), by).select("unique_id", "violations", by)
+
+
+def run_checks(checks: Sequence[Check], tables: Tables, states: Tables | None = None) -> DataFrame:
+    """``unique_id, severity, violations, status`` per check; status is pass, warn or fail.
+
+    ``states``: stored ``row_states`` of some tables, whose row-level checks are then summed up instead of evaluated.
+    """
+    states = states or {}
     if not checks:
         raise ValueError("no checks given")
     parts: list[DataFrame] = []
@@ -115,7 +134,12 @@ def run_checks(checks: Sequence[Check], tables: Tables) -> DataFrame:
                 .select(F.lit(c.unique_id).alias("unique_id"), F.lit(c.severity).alias("severity"), "violations")
             )
     for table, fused in by_table.items():
-        counts = tables[table].agg(*[F.count_if(c.row_test).alias(f"c{i}") for i, c in enumerate(fused)])
+        if table in states:
+            is_check = [F.col("unique_id") == c.unique_id for c in fused]
+            sums = [F.coalesce(F.sum(F.when(hit, F.col("violations"))), F.lit(0)) for hit in is_check]
+            counts = states[table].agg(*[s.alias(f"c{i}") for i, s in enumerate(sums)])
+        else:
+            counts = tables[table].agg(*[F.count_if(c.row_test).alias(f"c{i}") for i, c in enumerate(fused)])
         rows = F.array(
             *[
                 F.struct(

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hourlake.operators.calendar import dim_date
-from hourlake.operators.checks import raise_on_failure, run_checks, summarise
+from hourlake.operators.checks import STATES, raise_on_failure, row_states, run_checks, summarise
 from hourlake.operators.retention import retained
 from hourlake.operators.upsert import batches, replace_partitions, unconsumed, upsert_table
 from hourlake.plans import gold, marts, silver
@@ -79,7 +79,7 @@ class LakePaths:
 SILVER = ("stg_events", "stg_repos", "stg_actors", "pr_lifecycle")
 REBUILT = ("dim_date", "dim_event_type", "dim_actor", "dim_repo", "opened_prs", "mart_pr_lifecycle", "mart_pipeline_health")
 #: Tables of which only touched days are written anew.
-CHANGED = ("fact_events", "mart_daily_repo_activity", "mart_hourly_volume", "contributors", "merge_paces")
+CHANGED = ("fact_events", "mart_daily_repo_activity", "mart_hourly_volume", "contributors", "merge_paces", "ops/check_states")
 
 
 def _version(spark: SparkSession, path: str, number: int | None, schema) -> DataFrame:
@@ -87,6 +87,11 @@ def _version(spark: SparkSession, path: str, number: int | None, schema) -> Data
     return read_or_empty(spark, f"{path}/v={number or 0}", schema)
 
 
+def check_states(spark: SparkSession, paths: LakePaths) -> DataFrame:
+    """Violations of the fact's row-level checks by day, as the last change of each day left them."""
+    return current(spark, paths.gold("ops/check_states"), f"{STATES}, date_key int")
+
+
 def _publish(df: DataFrame, path: str) -> DataFrame:
     """Publish and go on from the published copy."""
     return df.sparkSession.read.schema(df.schema).parquet(publish(df, path))
@@ -161,6 +166,7 @@ def build(
             marts.daily_repo_activity(changed, t["dim_date"], t["dim_event_type"]), activity, "date_key", days
         )
         replace_partitions(marts.hourly_volume(changed), volume, "date_key", days)
+        replace_partitions(row_states(default_checks(now), "fact_events", changed, "date_key"), paths.gold("ops/check_states"), "date_key", days)
         replace_partitions(marts.daily_paces(changed), paths.gold("merge_paces"), "date_key", days)
         replace_partitions(marts.daily_contributors(changed, t["dim_event_type"]), paths.gold("contributors"), "date_key", days)
     # Only now: a run that dies before this line takes the same batches again, with the same result.
@@ -173,7 +179,7 @@ def build(
     health = pipeline_health(t["pipeline_runs"], fact, now)
     t["mart_pipeline_health"] = _publish(health, paths.gold("mart_pipeline_health"))
 
-    t["check_outcomes"] = outcomes = written(run_checks(default_checks(now), t), "checks")
+    t["check_outcomes"] = outcomes = written(run_checks(default_checks(now), t, {"fact_events": check_states(spark, paths)}), "checks")
     append(summarise(outcomes, now, run_id).coalesce(1), paths.check_results)
     state = (number, run_id, *[versions_of(spark, paths.gold(n))[-1] for n in ("dim_repo", "opened_prs")])
     append(spark.createDataFrame([state], BUILDS).coalesce(1), paths.builds)

@@ -796,6 +796,20 @@ def q09_severity(spark, sf):
     return checks.run_checks(suite, tables)
 
 
+@query
+def q09b_checks_by_day(spark, sf):
+    """Row-level checks from stored violations per day, every second of which was looked at twice."""
+    fact = _feed_fact(spark, sf)
+    suite = [
+        checks.not_null("feed", "pr_number", severity=checks.WARN),
+        checks.not_null("feed", "repo_id"),
+        checks.accepted_values("feed", "event_type", ("PushEvent", "WatchEvent")),
+        checks.row_check("no_late_hours", "feed", F.hour("created_at") >= 22),
+    ]
+    daily = _by_day(spark, fact, lambda rows: checks.row_states(suite, "feed", rows, "date_key"), f"{checks.STATES}, date_key int")
+    return checks.run_checks(suite, {"feed": fact}, {"feed": daily})
+
+
 @query
 def q10_summary(spark, sf):
     status = (

@@ -488,6 +488,13 @@ _CHECKS = [
 _q("q09_severity", "SELECT *, CASE WHEN violations = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status FROM ("
    + " UNION ALL ".join(f"SELECT 'test.{n}' AS unique_id, '{s}' AS severity, count(*) AS violations FROM ({q})" for n, s, q in _CHECKS)
    + ")")
+_BY_DAY = [
+    ("not_null_pr_number", "warn", "pr_number IS NULL"), ("not_null_repo_id", "error", "repo_id IS NULL"),
+    ("accepted_values_event_type", "error", "event_type NOT IN ('PushEvent', 'WatchEvent')"), ("no_late_hours", "error", "extract(hour FROM created_at) >= 22"),
+]
+_q("q09b_checks_by_day", "SELECT *, CASE WHEN violations = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status FROM ("
+   + " UNION ALL ".join(f"SELECT 'test.feed.{n}' AS unique_id, '{s}' AS severity, count(*) FILTER (WHERE {w}) AS violations FROM ev" for n, s, w in _BY_DAY)
+   + ")", EV)
 # Tables of the lake that other queries do not need as such.
 _LAKE = FACT + REPOS + DIM_DATE + TYPES + activity("fact") + "," + RUNS + """, actors AS (
   SELECT actor_id, actor_login FROM (

@@ -188,6 +188,18 @@ def test_only_repeated_merges_fail_the_checks(lake):
         assert set(e.split(", ")) <= allowed
 
 
+def test_stored_check_states_equal_a_scan(spark, lake):
+    paths, _, now = lake
+    from hourlake.operators.checks import run_checks
+    from hourlake.plans.build import check_states
+    from hourlake.plans.quality import default_checks
+
+    suite = [c for c in default_checks(now) if c.table == "fact_events" and c.row_test is not None]
+    fact, states = {"fact_events": fact_of(spark, paths)}, check_states(spark, paths)
+    assert len(suite) == 6 and rows(run_checks(suite, fact, {"fact_events": states})) == rows(run_checks(suite, fact))
+    assert run_checks(suite, fact, {"fact_events": states.limit(0)}).filter("violations = 0").count() == 6
+
+
 def test_ops_tables(spark, lake):
     paths, _, _ = lake
     from hourlake.schemas import CHECK_RESULTS, LEDGER
