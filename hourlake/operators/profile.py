@@ -103,6 +103,12 @@ def action_distribution(lines: DataFrame, event_type: str) -> DataFrame:
     )
 
 
+def array_lengths(lines: DataFrame, path: str) -> DataFrame:
+    """How many lines have an array of each length under a JSON path; NULL where there is none."""
+    length = F.json_array_length(F.get_json_object("value", path)).alias("length")
+    return lines.select(length).groupBy("length").agg(F.count("*").alias("n"))
+
+
 def schema_by_type(lines: DataFrame) -> DataFrame:
     """``type, schema``: the merged schema of all lines of a type, not of one sample."""
     doc = with_type(lines).withColumn("_v", F.try_parse_json("value"))

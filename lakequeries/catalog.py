@@ -987,6 +987,14 @@ def p05_action_distribution(spark, sf):
     return profile.action_distribution(adapter.whole_lines(spark, sf), "PullRequestEvent")
 
 
+@query
+def p07_array_lengths(spark, sf):
+    """Pushes with one commit more than the hour of the day says; other lines have no commits."""
+    commits = F.transform(F.sequence(F.lit(0), F.hour("created_at")), lambda i: F.struct(i.alias("sha")))
+    payload = F.when(F.col("event_type") == "PushEvent", F.struct(commits.alias("commits"))).alias("payload")
+    return profile.array_lengths(feed(spark, sf).select(F.to_json(F.struct(payload)).alias("value")), "$.payload.commits")
+
+
 @query
 def p06_form_sizes(spark, sf):
     good, _ = ingest.parse_events(adapter.whole_lines(spark, sf), ingested_at=BATCH_TS)

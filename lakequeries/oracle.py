@@ -655,6 +655,8 @@ SELECT CASE event_type WHEN 'PullRequestEvent' THEN 'action,pull_request' WHEN '
 _q("p05_action_distribution", """
 SELECT action, count(*) AS n FROM ev WHERE event_type = 'PullRequestEvent' GROUP BY 1""", EV)
 
+_q("p07_array_lengths", """
+SELECT CAST(CASE WHEN event_type = 'PushEvent' THEN extract(hour FROM created_at) + 1 END AS INTEGER) AS length, count(*) AS n FROM ev GROUP BY 1""", EV)
 _q("p06_form_sizes", """
 SELECT form, true AS has_bytes, true AS not_larger FROM (VALUES ('raw'), ('gzip'), ('all_columns'), ('projected')) AS f(form)
 WHERE EXISTS (SELECT 1 FROM events)""")
