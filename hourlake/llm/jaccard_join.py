@@ -7,13 +7,13 @@ they share at least ``needed(n) = ceil(J n)`` of them.
 1. *The whole corpus as one group.* A class can't link if fewer than ``needed(n)`` of its tokens occur elsewhere. This is tested
    twice by counting tokens: first on a part of the tokens (those with the least hashes, of which a link must share a
    certain number), which rejects most documents; then on all tokens of the classes that are left.
-2. *Groups.* Classes in order of a min-hash are cut into groups of at most ``GROUP`` classes and ``TOKENS`` tokens. In a
+2. *Groups.* Classes with one min-hash are dealt to groups of about ``GROUP`` classes and ``TOKENS`` tokens. In a
    group all overlaps are found by one sparse-dense product per slice of tokens. This is done for two min-hashes, and
    the components so far are known: what is already connected need not be compared again.
-3. *The matrix.* Groups are formed anew, of one component each or of single classes with one min-hash. The matrix has a row
+3. *The matrix.* Groups are formed anew, of one large component each or of all other classes by a min-hash. The matrix has a row
    (token, group) for every token in the union of the members' rarest tokens (a link must share one of a class's
-   ``n - needed(n) + 1`` rarest). A class is a query: its rarest tokens find the groups that could hold a partner, by size
-   and component too; where it goes, its overlap with the group's whole union bounds that with each member, and only
+   ``n - needed(n) + 1`` rarest). A class is a query: its rarest tokens find the groups that could hold a partner, by size,
+   by the number of tokens that either side shares with anyone, and by component; where it goes, its overlap with the group's whole union bounds that with each member, and only
    groups where the bound suffices are opened. Their members are compared exactly, through the union's postings.
 
 Every link between different components is found, links inside a component may be skipped; so components are exact.
@@ -44,10 +44,10 @@ from hourlake.operators.membership import maybe_known
 from hourlake.sources.scratch import written
 
 #: Classes and tokens of a group that one task compares with each other.
-GROUP = 256
+GROUP = 1024
 TOKENS = 1 << 18
 #: Queries that one copy of a group answers.
-QUERIES = 4096
+QUERIES = 1024
 #: Tokens of one dense slice.
 SLICE = 1 << 13
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -74,6 +74,10 @@ class Threshold:
         """So many more of the least (or rarest) tokens are looked at, and found shared, in the first test."""
         return np.maximum(1, n // 10)
 
+    def enough(self, overlap, n, m):
+        """Whether so large an overlap could link sets of n and (at least) m tokens."""
+        return (self.num + self.den) * overlap >= self.num * (n + m)
+
     def links(self, overlap, n, m):
         return self.den * overlap >= self.num * (n + m - overlap)
 
@@ -218,7 +222,7 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _inside(limit: Threshold):
-    """Rows ``key, cls, n, tokens``, sorted by key: links that connect what is connected inside a group."""
+    """Rows ``g, cls, n, tokens``, sorted by group: links that connect what is connected inside a group (never more than ``GROUP``)."""
 
     def connected(group: list[tuple[int, int, np.ndarray]]) -> list[tuple[int, int]]:
         cls, n = [g[0] for g in group], np.array([g[1] for g in group])
@@ -250,57 +254,48 @@ def _inside(limit: Threshold):
     return rows
 
 
-def links_inside(sets: DataFrame, key: str, limit: Threshold) -> DataFrame:
-    dealt = sets.select(key, "cls", "n", "tokens").repartitionByRange(key, "cls").sortWithinPartitions(key, "cls")
-    return dealt.mapInArrow(_inside(limit), "a long, b long")
-
-
-# ---------------------------------------------------------------- step 3: the token-group matrix
+def dealt(rows: DataFrame, key: Column) -> DataFrame:
+    """``rows`` (with ``cls, tokens``) with ``g``: classes with one key, in as many groups as their number and tokens need."""
+    rows = rows.withColumn("_key", key)
+    size = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.sum(F.size("tokens")).alias("_t"))
+    pieces = F.greatest(F.ceil(F.col("_n") / GROUP), F.ceil(F.col("_t") / TOKENS))
+    piece = F.pmod(F.xxhash64("cls"), F.col("_pieces"))
+    sized = rows.join(size.select("_key", pieces.alias("_pieces")), "_key")
+    return sized.withColumn("g", F.xxhash64("_key", piece)).drop("_key", "_pieces")
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``alone, key, cls, held``, sorted: the group of each class, named by its first class, and whether it is alone there."""
-    schema = pa.schema([("cls", pa.int64()), ("g", pa.int64()), ("mixed", pa.bool_())])
-    group, key, held = [], None, 0
+def links_inside(sets: DataFrame, key: str, limit: Threshold) -> DataFrame:
+    groups = dealt(sets.select(key, "cls", "n", "tokens"), F.col(key)).select("g", "cls", "n", "tokens")
+    return groups.repartition("g").sortWithinPartitions("g").mapInArrow(_inside(limit), "a long, b long")
 
-    def done() -> pa.RecordBatch:
-        return record(schema, group, [group[0]] * len(group), [key[0] and len(group) > 1] * len(group))
 
-    for batch in batches:
-        for alone, k, cls, size in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            if group and ((alone, k) != key or len(group) >= GROUP or held + size > TOKENS):
-                yield done()
-                group, held = [], 0
-            key, held = (alone, k), held + size
-            group.append(cls)
-    if group:
-        yield done()
+# ---------------------------------------------------------------- step 3: the token-group matrix
 
 
 def matrix_groups(sets: DataFrame) -> DataFrame:
-    """``cls, g, mixed``: groups of one component, or of single classes with one min-hash (``mixed``)."""
-    alone = F.col("members") == 1
-    rows = sets.select(alone.alias("alone"), F.when(alone, F.col("m1")).otherwise(F.col("comp")).alias("key"), "cls", F.size("tokens").cast("long").alias("held"))
-    by = ("alone", "key", "cls")
-    return rows.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(_cut, "cls long, g long, mixed boolean")
+    """``cls, g``: groups of one large component each, and of all other classes, where those with one min-hash stay together."""
+    buckets = max(1, -(-sets.count() // GROUP))
+    large = F.col("members") >= GROUP // 4
+    key = F.struct(large.alias("large"), F.when(large, F.col("comp")).otherwise(F.pmod(F.xxhash64("m1"), F.lit(buckets))).alias("of"))
+    return dealt(sets.select("cls", "tokens", "comp", "members", "m1"), key).select("cls", "g")
 
 
 def questions(sets: DataFrame, groups: DataFrame, limit: Threshold) -> DataFrame:
     """``q, g``: the groups that may hold a partner of a class in another component.
 
-    Of two components the one that is less (by members, then name) asks; single classes of a group also ask each other.
+    Of two components the one that is less (by members, then name) asks.
     """
     rank = F.struct("members", "comp")
-    probes = sets.select("cls", "n", "comp", "members", F.explode(F.slice("tokens", F.lit(1), F.col("probe"))).alias("token"))
+    probes = sets.select("cls", "n", "comp", "members", F.size("tokens").cast("long").alias("shared"), F.explode(F.slice("tokens", F.lit(1), F.col("probe"))).alias("token"))
     top = probes.groupBy("token").agg(F.max(rank).alias("top"), F.min(rank).alias("bottom")).where("bottom < top").drop("bottom")
-    asking = probes.join(top, "token").where((rank < F.col("top")) | (F.col("members") == 1))
-    rows = probes.join(groups, "cls").groupBy("token", "g").agg(
-        F.min("n").alias("lo"), F.max("n").alias("hi"), F.count(F.lit(1)).alias("held"), F.min("cls").alias("one"), F.any_value("mixed").alias("mixed"), F.max(rank).alias("of")
-    )
-    asking = asking.select(F.col("cls").alias("q"), F.col("n").alias("q_n"), F.struct("members", "comp").alias("by"), "token")
-    other = F.when(F.col("mixed"), (F.col("by.members") == 1) & ((F.col("held") > 1) | (F.col("one") != F.col("q")))).otherwise(F.col("by") < F.col("of"))
+    asking = probes.join(top, "token").where(rank < F.col("top"))
+    asking = asking.select(F.col("cls").alias("q"), F.col("n").alias("q_n"), F.col("shared").alias("q_shared"), rank.alias("by"), "token")
+    rows = probes.join(groups, "cls").groupBy("token", "g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("shared").alias("most"), F.max(rank).alias("of"))
     fits = (F.col("hi") >= limit.needed(F.col("q_n"))) & (limit.needed(F.col("lo")) <= F.col("q_n"))
-    return asking.join(rows, "token").where(other & fits).select("q", "g").distinct()
+    # the smallest partner that sizes allow, and the most that either side shares with anyone
+    least = F.greatest(F.col("lo"), limit.needed(F.col("q_n")))
+    fits = fits & limit.enough(F.least("q_shared", "most"), F.col("q_n"), least)
+    return asking.join(rows, "token").where((F.col("by") < F.col("of")) & fits).select("q", "g").distinct()
 
 
 class Union:
@@ -317,7 +312,7 @@ class Union:
         """Members of other components that the query links with; the group is only opened if the bound allows one."""
         at = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
         at = at[self.tokens[at] == tokens]
-        if len(at) < limit.needed(max(n, int(self.n.min()))):
+        if not limit.enough(len(at), n, max(limit.needed(n), int(self.n.min()))):
             return self.cls[:0]
         often = self.often[at]
         posting = np.arange(often.sum()) + np.repeat(self.start[at] - (np.cumsum(often) - often), often)
