@@ -216,3 +216,21 @@ def test_late_rows_come_out_at_the_side(spark, tmp_path):
     kept = {r["event_id"]: r for r in late_rows(spark, side, schema).collect()}
     assert kept[90].asDict() == bronze(spark, second[0]).first().asDict()
     assert run() == (streamed, late, whole)
+
+
+def test_late_rows_need_no_setting_of_the_session(spark, tmp_path):
+    """A session with Spark's default state store, as any caller may have."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    plain = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    source, table, side, cp = (str(tmp_path / n) for n in ("in", "volume", "late", "cp"))
+    add(bronze(spark, event(1), event(2, created_at=ts("2024-01-15T18:00:00"))), source)
+    before = spark.conf.get(name)
+    spark.conf.set(name, plain)
+    try:
+        for late in ([], [3]):
+            volume_and_late_rows(spark.readStream.schema(EVENT_COLUMNS).parquet(source), table, side, cp, pieces=2).awaitTermination()
+            assert spark.conf.get(name) == plain
+            assert [r["event_id"] for r in late_rows(spark, side, EVENT_COLUMNS).collect()] == late
+            add(bronze(spark, event(3)), source)
+    finally:
+        spark.conf.set(name, before)
