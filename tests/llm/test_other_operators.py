@@ -550,6 +550,80 @@ def test_lm_probabilities_add_up():
     assert len(tokens) == 10 and begins.tolist() == [0, 6, 10] or tokens[begins[1:] - 1].tolist() == [0, 0]
 
 
+def small_tree(rng, words=400, head=150):
+    """Words of one class (few of them frequent), and their tree."""
+    text = " ".join(f"w{k}zz" for k in range(words)).encode()
+    h = np.unique(maxent_lm.tokens_of(np.frombuffer(text, np.uint8), np.array([0, len(text)]))[0])
+    h = h[h != 0]
+    counts = rng.integers(1, 1000, len(h)) ** 2
+    known = np.sort(rng.permutation(len(h))[:head])
+    rare = np.setdiff1d(np.arange(len(h)), known)
+    cls = (h & np.uint64(31)).astype(int)
+    mass, many = np.ones(maxent_lm.CLASSES), np.zeros(maxent_lm.CLASSES)
+    np.add.at(mass, cls[rare], counts[rare] + 1)
+    np.add.at(many, cls[rare], 1)
+    tree = maxent_lm.Tree.of(h[known], counts[known], h[:0], mass, many, words)
+    return h, counts, cls, rare, mass, tree
+
+
+def test_lm_words_within_a_class_come_from_a_softmax():
+    """Whatever stands before: a class's words and what is unknown add up to one; without weights they have their shares."""
+    rng = np.random.default_rng(2)
+    h, counts, cls, rare, mass, tree = small_tree(rng)
+    assert len(set(cls)) == 1
+    zero = np.zeros((maxent_lm.KINDS, tree.rows, maxent_lm.FAN), np.float32)
+    weights = rng.normal(size=zero.shape).astype(np.float32)
+    at, known = tree.find(h)
+    assert known.sum() == 150 and not known[rare].any()
+    given = []
+    for seed in (3, 4, 5):
+        hashes = [np.full(len(h), np.uint64(x)) for x in np.random.default_rng(seed).integers(1, 1 << 62, maxent_lm.KINDS)]
+        token, f, start, chosen = tree.choices(h, cls, hashes, at, known)
+        logs = lambda w: np.bincount(token, weights=maxent_lm.log_chosen(w, f, chosen, start), minlength=len(h))  # noqa: E731,B023
+        p = np.exp(logs(weights))
+        # rare words of one leaf share its path
+        leaf = maxent_lm.leaves_of(h[rare], cls[rare], tree.depths)
+        _, first = np.unique(leaf, return_index=True)
+        digits = maxent_lm.FAN ** int(tree.depths[cls[0]])
+        assert len(rare) <= digits < maxent_lm.FAN * len(rare)
+        whole = p[known].sum() + p[rare][first].sum()
+        assert 0 < whole <= 1 + 1e-4
+        everything = rare_total(tree, cls[0], hashes, weights)
+        assert p[known].sum() + everything == pytest.approx(1, abs=1e-4)
+        given.append(p)
+        total = (counts[known] + 1).sum() + mass[cls[0]]
+        assert np.exp(logs(zero))[known] == pytest.approx((counts[known] + 1) / total, rel=1e-4)
+    assert abs(given[0] / given[1] - 1).max() > 0.5  # the words before make a difference
+
+
+def rare_total(tree, c, hashes, weights):
+    """Probability of all leaves of the rare words of a class: of the path down to them, found by taking the known words away."""
+    place = len(tree.head) + c
+    j = np.arange(tree.first[place], tree.first[place + 1])
+    unseen = np.array([np.uint64(c)])
+    _, f, start, chosen = tree.choices(unseen, np.array([c]), [x[:1] for x in hashes], np.zeros(1, int), np.array([False]))
+    return float(np.exp(maxent_lm.log_chosen(weights, f, chosen, start)[: len(j)].sum()))
+
+
+@pytest.mark.parametrize(("head", "gain"), [(maxent_lm.HEAD, 0.8), (40, 0.5)])
+def test_lm_learns_which_word_of_a_class_follows(spark, head, gain):
+    """All words end alike, so nothing but the choice within classes can tell which follows which."""
+    rng = random.Random(11)
+    names = [f"{k:03d}zz" for k in range(200)]
+    follows = {w: names[(7 * i + 3) % 200] for i, w in enumerate(names)}
+    texts = []
+    for _ in range(400):
+        w = rng.choice(names)
+        text = [w]
+        for _ in range(60):
+            w = follows[w]
+            text.append(w)
+        texts.append(" ".join(text))
+    rows = [r for r in maxent_lm.lm_scores(frame(spark, texts), head=head).collect() if r["held_out"]]
+    # word frequencies alone give each of 200 words about 2.3 (a class of its own saves little)
+    assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows) + gain * sum(r["n_tokens"] for r in rows)
+
+
 def test_lm_of_nothing(spark):
     assert maxent_lm.lm_scores(frame(spark, [])).count() == 0
     alone = next(i for i in range(50) if zlib.crc32(str(i).encode()) % 7 == 2)
