@@ -49,7 +49,7 @@ MINIBATCH = 1 << 14
 #: Children of a node in a class's tree, and the binary logarithm.
 FAN, DIGIT = 8, 3
 #: Rows of weights of each kind of feature for the trees: grows with the vocabulary up to this.
-INNER = 1 << 15
+INNER = 1 << 13
 BOUND = 18.0  # of a weight, so that sums of them have exponentials
 SLOT = 64  # rows of weights in one row of a DataFrame
 
@@ -107,7 +107,7 @@ def hashes_of(tokens: np.ndarray, classes: np.ndarray, begins: np.ndarray) -> li
 
 
 def buckets_of(hashes: list[np.ndarray]) -> np.ndarray:
-    return np.stack([(h % U64(BUCKETS)).astype(np.uint16) for h in hashes])
+    return np.stack([(h & U64(BUCKETS - 1)).astype(np.uint16) for h in hashes])
 
 
 def features_of(tokens: np.ndarray, classes: np.ndarray, begins: np.ndarray) -> np.ndarray:
@@ -149,6 +149,10 @@ def leaves_of(tokens: np.ndarray, classes: np.ndarray, depths: np.ndarray) -> np
     return mix(digits * U64(32) + classes.astype(np.uint64))
 
 
+def _number(keys: np.ndarray) -> np.ndarray:
+    return (mix(keys) >> U64(32)).astype(np.uint32)
+
+
 @dataclass
 class Tree:
     """Paths of frequent words, and of every class's rare words, from their class down: the nodes passed and the children taken."""
@@ -158,6 +162,7 @@ class Tree:
     node: np.ndarray
     child: np.ndarray
     start: np.ndarray  # of each node: logarithms of its children's shares
+    number: np.ndarray  # of each node: what its features are hashed with
     depths: np.ndarray  # of each class: digits that tell its rare words apart
     rows: int  # of weights, a power of two
 
@@ -200,7 +205,7 @@ class Tree:
         order = np.argsort(words, kind="stable")  # levels stay in order
         first = np.concatenate([[0], np.cumsum(np.bincount(words, minlength=total))])
         rows = min(INNER, max(1 << 8, 1 << (vocabulary >> 4).bit_length()))
-        return Tree(head, first, node[order], child[order], np.concatenate(starts), depths, rows)
+        return Tree(head, first, node[order], child[order], np.concatenate(starts), _number(np.arange(nodes, dtype=np.uint64) + U64(1)), depths, rows)
 
     def find(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place of each token in the head, and whether it is there."""
@@ -217,7 +222,7 @@ class Tree:
         token = np.repeat(np.arange(len(tokens)), n)
         j = np.arange(len(token)) + np.repeat(begin - (np.cumsum(n) - n), n)
         node, chosen = self.node[j], self.child[j]
-        number = mix(node.astype(np.uint64) + U64(1)) >> U64(32)
+        number = self.number.take(node)
         start = self.start.take(node, axis=0)
         rare = np.flatnonzero(~known & (classes > OWN))
         if len(rare):
@@ -227,11 +232,11 @@ class Tree:
             x = np.repeat(mix(tokens[rare]), deep)
             passed = (x >> U64(1)) >> (63 - DIGIT * level).astype(np.uint64)
             digit = ((x >> U64(1)) >> (63 - DIGIT * (level + 1)).astype(np.uint64)) & U64(FAN - 1)
-            number2 = mix(passed * U64(1024) + (level * 32 + classes[token2]).astype(np.uint64) + U64(1 << 62)) >> U64(32)
+            number2 = _number(passed * U64(1024) + (level * 32 + classes[token2]).astype(np.uint64) + U64(1 << 62))
             even = np.full((len(token2), FAN), -np.log(FAN), dtype=np.float32)
             token, number = np.concatenate([token, token2]), np.concatenate([number, number2])
             chosen, start = np.concatenate([chosen, digit.astype(np.uint8)]), np.concatenate([start, even])
-        number, shift = number.astype(np.uint32), np.uint32(32 - (self.rows.bit_length() - 1))
+        shift = np.uint32(32 - (self.rows.bit_length() - 1))
         short = [(h >> U64(32)).astype(np.uint32) for h in hashes]
         features = np.stack([(((h.take(token) ^ number) * np.uint32(0x9E3779B1)) >> shift).astype(np.uint16) for h in short])
         return token, features, start, chosen
@@ -319,8 +324,9 @@ def _trained(weights: np.ndarray, inner: np.ndarray, own: np.ndarray, tree: Tree
                 classes = classes_of(tokens, own)
                 trainer.learn(tokens, classes, hashes_of(tokens, classes, begins))
         if trainer.seen:
-            flat = np.concatenate([x.weights.reshape(-1, SLOT * CLASSES) for x in (trainer.outer, trainer.inner)])
-            flat = (flat * np.float32(trainer.seen)).astype(np.float32)
+            # what has changed: rows that were not touched are zeros, which compress
+            flat = np.concatenate([(new - old).reshape(-1, SLOT * CLASSES) for new, old in ((trainer.outer.weights, weights), (trainer.inner.weights, inner))])
+            flat *= np.float32(trainer.seen)
             n, part = len(flat), TaskContext.get().partitionId() % PARTS
             yield record(_SLOTS, np.arange(n, dtype=np.int32), np.full(n, part, np.int32), pa.array([v.tobytes() for v in flat], pa.binary()), np.full(n, float(trainer.seen)))
 
@@ -346,7 +352,7 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _average(slots: DataFrame) -> np.ndarray | None:
-    """The tasks' weights, averaged by their numbers of tokens; in two steps, so no task adds up those of all tasks."""
+    """The changes of the tasks' weights, averaged by their numbers of tokens; in two steps, so no task adds up those of all tasks."""
     for part in (F.col("part"), F.lit(0)):
         slots = slots.withColumn("part", part).repartition("slot", "part").sortWithinPartitions("slot", "part").mapInArrow(_added, _SLOTS_DDL)
     rows = sorted(slots.collect(), key=lambda r: r["slot"])  # a fixed size, whatever the corpus
@@ -401,7 +407,7 @@ def learn(texts: DataFrame, rounds: int = ROUNDS, head: int = HEAD) -> tuple[Mod
         got = _average(share.mapInArrow(_trained(weights, inner, own, tree), _SLOTS_DDL))
         if got is not None:
             slots = KINDS * BUCKETS // SLOT
-            weights, inner = got[:slots].reshape(weights.shape), got[slots:].reshape(inner.shape)
+            weights, inner = weights + got[:slots].reshape(weights.shape), inner + got[slots:].reshape(inner.shape)
     return Model(h, n, own, tree, weights, inner, int(total), int(vocabulary)), rare
 
 
