@@ -8,7 +8,8 @@ vocabulary: frequent words by their frequencies (a node's children have similar
 rarer ones, which are one leaf of that tree, by further digits of their hashes until a child has about one word; words
 that still share a leaf, and one place for words never seen, have their (add-one) shares of it. A node's features are hashed with
 its number. All weights are trained by gradient steps that tasks take on their own documents from common
-weights; after each round the tasks' weights are averaged by Spark.
+weights; after each round the tasks' weights are averaged by Spark. A round has as many such tasks as its tokens are worth, however many
+partitions the documents come in, so what is sent grows with the tokens.
 
 Counts are exact over all training documents. The most frequent words (``HEAD`` at most) and the weights, whose size is
 fixed, go to every task; all rarer words are looked up shard by shard where their counts are, packed as arrays. Being rare,
@@ -21,6 +22,7 @@ are not looked at.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -46,6 +48,8 @@ TOKENS_PER_TASK = 1 << 22
 ROUNDS = 2
 RATE = 0.3
 MINIBATCH = 1 << 14
+#: Tokens of a round for each task that trains (about 3 MB of text), as it sends all weights (5 MB), however few tokens it has seen.
+TOKENS_PER_TRAINER = 1 << 19
 #: Children of a node in a class's tree, and the binary logarithm.
 FAN, DIGIT = 8, 3
 #: Rows of weights of each kind of feature for the trees: grows with the vocabulary up to this.
@@ -311,10 +315,9 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 _SLOTS = pa.schema([("slot", pa.int32()), ("part", pa.int32()), ("vector", pa.binary()), ("weight", pa.float64())])
 _SLOTS_DDL = "slot int, part int, vector binary, weight double"
-PARTS = 64
 
 
-def _trained(weights: np.ndarray, inner: np.ndarray, own: np.ndarray, tree: Tree):
+def _trained(weights: np.ndarray, inner: np.ndarray, own: np.ndarray, tree: Tree, parts: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = Trainer(weights, inner, tree)
         for batch in batches:
@@ -327,7 +330,7 @@ def _trained(weights: np.ndarray, inner: np.ndarray, own: np.ndarray, tree: Tree
             # what has changed: rows that were not touched are zeros, which compress
             flat = np.concatenate([(new - old).reshape(-1, SLOT * CLASSES) for new, old in ((trainer.outer.weights, weights), (trainer.inner.weights, inner))])
             flat *= np.float32(trainer.seen)
-            n, part = len(flat), TaskContext.get().partitionId() % PARTS
+            n, part = len(flat), TaskContext.get().partitionId() % parts
             yield record(_SLOTS, np.arange(n, dtype=np.int32), np.full(n, part, np.int32), pa.array([v.tobytes() for v in flat], pa.binary()), np.full(n, float(trainer.seen)))
 
     return rows
@@ -402,9 +405,11 @@ def learn(texts: DataFrame, rounds: int = ROUNDS, head: int = HEAD) -> tuple[Mod
     tree = Tree.of(h, n, own, mass, many, int(vocabulary))
     weights = np.zeros((KINDS, BUCKETS, CLASSES), dtype=np.float32)
     inner = np.zeros((KINDS, tree.rows, FAN), dtype=np.float32)
+    trainers = max(1, -(-int(total) // (rounds * TOKENS_PER_TRAINER)))
+    parts = math.isqrt(trainers - 1) + 1  # about as many sums in the first step as tasks in each
     for k in range(rounds):
-        share = texts.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == k)
-        got = _average(share.mapInArrow(_trained(weights, inner, own, tree), _SLOTS_DDL))
+        share = texts.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == k).coalesce(trainers)
+        got = _average(share.mapInArrow(_trained(weights, inner, own, tree, parts), _SLOTS_DDL))
         if got is not None:
             slots = KINDS * BUCKETS // SLOT
             weights, inner = weights + got[:slots].reshape(weights.shape), inner + got[slots:].reshape(inner.shape)

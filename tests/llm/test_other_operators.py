@@ -624,6 +624,29 @@ def test_lm_learns_which_word_of_a_class_follows(spark, head, gain):
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows) + gain * sum(r["n_tokens"] for r in rows)
 
 
+def test_lm_weights_are_sent_by_tokens_not_by_partitions(spark, monkeypatch):
+    """Documents in many partitions: few tasks send weights, and these have learned from every training token."""
+    rng = random.Random(12)
+    texts = [" ".join(f"w{rng.randint(0, 99)}" for _ in range(29)) for _ in range(400)]
+    average, sent = maxent_lm._average, []
+
+    def noted(slots):
+        sent.append(slots.where("slot = 0").select("part", "weight").collect())
+        return average(slots)
+
+    monkeypatch.setattr(maxent_lm, "_average", noted)
+    for each in (1 << 19, 1000):
+        monkeypatch.setattr(maxent_lm, "TOKENS_PER_TRAINER", each, raising=False)
+        sent.clear()
+        rows = maxent_lm.lm_scores(frame(spark, texts).repartition(40)).collect()
+        total = rows[0]["train_tokens"]
+        most = -(-total // (maxent_lm.ROUNDS * each))
+        assert len(rows) == 400 and len(sent) == maxent_lm.ROUNDS
+        assert all(1 <= len(tasks) <= most < 40 for tasks in sent)
+        assert all(len({r["part"] for r in tasks}) <= math.ceil(math.sqrt(most)) for tasks in sent)
+        assert sum(r["weight"] for tasks in sent for r in tasks) == total
+
+
 def test_lm_of_nothing(spark):
     assert maxent_lm.lm_scores(frame(spark, [])).count() == 0
     alone = next(i for i in range(50) if zlib.crc32(str(i).encode()) % 7 == 2)
