@@ -248,6 +248,32 @@ def test_decontamination_of_empty_tables(spark):
     assert sorted((r["doc_id"] or 0, r["start"], r["similarity"], r["hamming"]) for r in found) == [(0, 1, 1.0, 0), (3, 1, 1.0, 0)]
 
 
+def test_only_documents_with_windows_are_dealt_out(spark, monkeypatch, tmp_path):
+    """Where the keys of documents with windows are too many to be broadcast, the other documents still stay where they are."""
+    item = " ".join(f"q{i}" for i in range(20))
+    texts = [" ".join(f"w{(i * 7 + k) % 90}" for k in range(40)) + (f" {item}" if i % 100 == 5 else "") for i in range(500)]
+    frame(spark, texts).write.parquet(f"{tmp_path}/documents")
+    docs, bench = spark.read.parquet(f"{tmp_path}/documents"), spark.createDataFrame([(1, item)], "item_id long, text string")
+    write, dealt = decontaminate.written, []
+
+    def noted(df, label):
+        if label == "window-words":
+            df.collect()
+            plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+            dealt.extend(float(n) for n in re.findall(r"ShuffleQueryStage.*rowCount=([\d.E+]+)", plan))
+        return write(df, label)
+
+    monkeypatch.setattr(decontaminate, "written", noted)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = decontaminate.contamination(docs, bench).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert sorted(r["doc_id"] for r in found) == [5, 105, 205, 305, 405]
+    assert dealt and max(dealt) < 50
+
+
 # ---------------------------------------------------------------- toxicity
 
 
