@@ -274,6 +274,17 @@ def test_only_documents_with_windows_are_dealt_out(spark, monkeypatch, tmp_path)
     assert dealt and max(dealt) < 50
 
 
+def test_documents_with_large_row_groups_are_read_in_pieces(spark, monkeypatch, tmp_path):
+    """Else each task holds a whole column of a row group outside the heap too."""
+    frame(spark, ["a b c d e f g", "x"]).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "a b c d e f g")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    held, contamination = [], decontaminate.contamination
+    monkeypatch.setattr(decontaminate, "contamination", lambda docs, bench: held.append(docs) or contamination(docs, bench))
+    assert [r["doc_id"] for r in queries.op4_decontaminate(spark, str(tmp_path)).collect()] == [0]
+    options = held[0]._jdf.queryExecution().analyzed().collectLeaves().apply(0).relation().options()
+    assert options.get("parquet.hadoop.vectored.io.enabled").get() == "false"
+
+
 # ---------------------------------------------------------------- toxicity
 
 
